@@ -9,8 +9,14 @@ from pyspark.sql import types as T
 from merchantlake import contract as C
 
 
-def month_of(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+def month_keys(ts: Column) -> list[Column]:
+    """Year and month as numbers: cheaper to group by than a label made for every row."""
+    return [F.year(ts).alias("year"), F.month(ts).alias("month")]
+
+
+def month_label(year: Column, month: Column) -> Column:
+    """``yyyy-MM``; null stays null."""
+    return F.date_format(F.make_date(year, month, F.lit(1)), "yyyy-MM")
 
 
 def month_start(ts: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from merchantlake import contract as C
 
 # Keys above this share of the rows count as hot; a frequent-items pass finds all of them.
-HOT_SHARE = 0.0005
+HOT_SHARE = 0.001
 
 
 def measured_bytes(df: DataFrame, limit: int = C.BROADCAST_BYTES) -> int:
@@ -52,7 +52,8 @@ def _spread_join(left: DataFrame, right: DataFrame, key: str, how: str, row_id:
     nothing and are spread too.
     """
     spark = left.sparkSession
-    salts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # More salts than partitions, so that salts falling together still even out.
+    salts = max(32, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     # At most 1 / HOT_SHARE rows, whatever the size of the tables.
     hot = (
         left.freqItems([key], HOT_SHARE)

@@ -52,7 +52,9 @@ def number_rows(df: DataFrame, key: str, order: list[Column], rank: str) -> Data
     chunks = numbered.select(
         *columns, last.alias("_last"), F.explode(F.sequence(first, last, F.lit(chunk))).alias("_from")
     )
-    return chunks.repartition(parts, key, "_from").select(
-        *columns,
-        F.explode(F.sequence("_from", F.least(F.col("_from") + (chunk - 1), F.col("_last")))).cast("int").alias(rank),
+    upto = F.least(F.col("_from") + (chunk - 1), F.col("_last"))
+    return (
+        chunks.repartition(parts, key, "_from")
+        .select(*columns, F.explode(F.sequence("_from", upto)).alias(rank))
+        .withColumn(rank, F.col(rank).cast("int"))
     )

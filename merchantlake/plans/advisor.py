@@ -50,11 +50,11 @@ def advisory_cells(silver: DataFrame) -> DataFrame:
         "city_id",
         "category",
         X.financing(F.col("installments")).alias("flag"),
-        X.month_of(F.col("purchase_ts")).alias("month"),
+        *X.month_keys(F.col("purchase_ts")),
         X.hour_of(F.col("purchase_ts")).alias("hour"),
         F.col("amount").cast(C.MONEY).alias("amount"),
     )
-    party, time = ["city_id", "category", "flag"], ["month", "hour"]
+    party, time = ["city_id", "category", "flag"], ["year", "month", "hour"]
     return keyed.groupingSets([party, time], *party, *time).agg(
         (F.grouping("month") == 1).alias("is_party"),
         F.count(F.lit(1)).alias("n"),
@@ -83,7 +83,7 @@ def _section_rows(cells: DataFrame) -> DataFrame:
         row(C.SECTION_FINANCING_BY_CITY, city, flag),
     )
     time = F.array(
-        row(C.SECTION_MONTHS, F.col("month"), None),
+        row(C.SECTION_MONTHS, X.month_label(F.col("year"), F.col("month")), None),
         row(C.SECTION_HOURS, F.col("hour").cast("string"), None),
     )
     return (

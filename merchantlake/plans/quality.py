@@ -102,25 +102,26 @@ def merchant_profile(merchants: DataFrame) -> DataFrame:
     return _rows_of(stats, [(m, F.coalesce(v, F.lit(0))) for m, v in rows], ["metric", "value"])
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in batches:
-        for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-            footer = pq.ParquetFile(inner, filesystem=system)
-            names = sorted(footer.schema_arrow.names)
-            yield pd.DataFrame({"path": [path], "columns": [names], "n_rows": [footer.metadata.num_rows]})
-
-
 def schema_drift(spark: SparkSession, *paths: str) -> DataFrame:
     """Per Parquet file: rows, columns, and whether the columns differ from the first file's.
 
     Tasks read the footers only, so the cost is per file and not per row.
     """
+
+    # Nested, so that it travels to executors that do not have this package.
+    def read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            for path in batch["path"]:
+                system, inner = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+                footer = pq.ParquetFile(inner, filesystem=system)
+                names = sorted(footer.schema_arrow.names)
+                yield pd.DataFrame({"path": [path], "columns": [names], "n_rows": [footer.metadata.num_rows]})
+
     files = spark.read.format("binaryFile").load(list(paths)).select("path")
-    footers = files.mapInPandas(_read_footers, "path string, columns array<string>, n_rows long")
+    footers = files.mapInPandas(read_footers, "path string, columns array<string>, n_rows long")
     first = footers.agg(F.min_by("columns", "path").alias("columns")).scalar()
     return footers.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),

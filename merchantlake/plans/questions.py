@@ -13,12 +13,20 @@ from merchantlake.operators.rank import top_n
 def top_merchants(silver: DataFrame, n: int = C.TOP_PER_MONTH_CITY) -> DataFrame:
     """Q1: the merchants with the largest purchase total in each month and city."""
     totals = silver.groupBy(
-        X.month_of(F.col("purchase_ts")).alias("Month"),
-        X.city_label(F.col("city_id")).alias("City"),
-        F.col("merchant_name").alias("Merchant"),
+        *X.month_keys(F.col("purchase_ts")), "city_id", F.col("merchant_name").alias("Merchant")
     ).agg(X.money_sum(F.col("amount")).alias("Purchase Total"), F.count(F.lit(1)).alias("No of sales"))
     order = [F.col("Purchase Total").desc(), F.col("Merchant").asc()]
-    return top_n(totals, ["Month", "City"], order, n).drop("_rank").orderBy("Month", "City", *order)
+    return (
+        top_n(totals, ["year", "month", "city_id"], order, n)
+        .select(
+            X.month_label(F.col("year"), F.col("month")).alias("Month"),
+            X.city_label(F.col("city_id")).alias("City"),
+            "Merchant",
+            "Purchase Total",
+            "No of sales",
+        )
+        .orderBy("Month", "City", *order)
+    )
 
 
 def average_by_state(silver: DataFrame) -> DataFrame:

@@ -523,8 +523,7 @@ ORACLE: dict[str, str] = {
         "SELECT *, '2024-01-01T00:00:00+00:00' AS _ingested_at, 'transactions' AS _bronze_source FROM tx", "tx"
     ),
     "bronze_merchants": _sql(
-        "SELECT * REPLACE (trim(most_recent_sales_range) AS most_recent_sales_range), "
-        "'2024-01-01T00:00:00+00:00' AS _ingested_at, 'merchants' AS _bronze_source FROM merchants",
+        "SELECT *, '2024-01-01T00:00:00+00:00' AS _ingested_at, 'merchants' AS _bronze_source FROM merchants",
         "merchants",
     ),
     "merchants_resolved": _sql(

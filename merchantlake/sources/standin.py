@@ -12,11 +12,18 @@ from pyspark.sql import functions as F
 
 from merchantlake.operators.joins import lookup_join, measured_bytes
 
+# Columns of the input tables in use. Declared, a read needs no pass over footers.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_extendedprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_size int, p_retailprice double",
+}
 _MEASURED: dict[tuple[str, str, tuple[str, ...]], int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def table_bytes(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> int:
@@ -35,12 +42,12 @@ def transactions(spark: SparkSession, sf_dir: str, broadcast_bytes: int | None =
     """Raw transactions: line items with their order's date, priority and customer."""
     limit = {} if broadcast_bytes is None else {"broadcast_bytes": broadcast_bytes}
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders")
     placed = lookup_join(
         orders, customers, "o_custkey", "inner",
         right_bytes=table_bytes(spark, sf_dir, "customer", "c_custkey", "c_nationkey"), **limit,
     ).withColumnRenamed("o_orderkey", "l_orderkey")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
+    lines = table(spark, sf_dir, "lineitem")
     joined = lookup_join(
         lines, placed, "l_orderkey", "inner",
         right_bytes=table_bytes(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),

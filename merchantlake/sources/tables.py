@@ -52,9 +52,11 @@ def write_table(
 
 
 def write_report(df: DataFrame, path: str, fmt: str) -> None:
-    """CSV (with header) or JSON for people and tools outside Spark."""
+    """CSV (with header, text as it is) or JSON for people and tools outside Spark."""
     writer = df.write.mode("overwrite").format(fmt)
-    (writer.option("header", True) if fmt == "csv" else writer).save(path)
+    if fmt == "csv":
+        writer = writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    writer.save(path)
 
 
 def with_lineage(df: DataFrame, source: str, ingested_at: str | None = None) -> DataFrame:
