@@ -12,15 +12,12 @@ from merchantlake import contract as C
 HOT_SHARE = 0.001
 
 
-def measured_bytes(df: DataFrame, limit: int = C.BROADCAST_BYTES) -> int:
-    """Size of ``df``'s values. Stops at the row count when that alone exceeds ``limit``."""
-    rows = df.count()
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    size = rows * 16 * len(df.columns)
-    if size > limit or not strings or rows == 0:
-        return size
-    text = df.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in strings), F.lit(0)).cast("long"))).first()[0]
-    return size + text
+def measured_bytes(df: DataFrame) -> int:
+    """Size of ``df``'s values: its text, and 16 bytes for every field."""
+    text = [F.octet_length(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    fields = F.count(F.lit(1)) * F.lit(16 * len(df.columns))
+    total = sum((F.coalesce(F.sum(t), F.lit(0)) for t in text), fields)
+    return df.agg(total).first()[0]
 
 
 def lookup_join(
@@ -32,18 +29,22 @@ def lookup_join(
     right_bytes: int,
     broadcast_bytes: int = C.BROADCAST_BYTES,
     row_id: list[str] | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` (unique on ``key``), ``how`` being inner or left.
 
     ``right_bytes`` is a measured bound of ``right``: small enough, it is sent to
-    every task; otherwise both sides are shuffled with hot keys spread out.
+    every task; otherwise both sides are shuffled with hot keys spread out. Hot keys
+    are looked for in ``keys_from`` when ``left`` is costly to compute twice.
     """
     if right_bytes <= broadcast_bytes:
         return left.join(F.broadcast(right), key, how)
-    return _spread_join(left, right, key, how, row_id)
+    return _spread_join(left, right, key, how, row_id, left if keys_from is None else keys_from)
 
 
-def _spread_join(left: DataFrame, right: DataFrame, key: str, how: str, row_id: list[str] | None) -> DataFrame:
+def _spread_join(
+    left: DataFrame, right: DataFrame, key: str, how: str, row_id: list[str] | None, keys_from: DataFrame
+) -> DataFrame:
     """Shuffle join in which no key is bound to one task.
 
     Rows of a hot key get a salt taken from their content (or from ``row_id``, when
@@ -56,7 +57,7 @@ def _spread_join(left: DataFrame, right: DataFrame, key: str, how: str, row_id:
     salts = max(32, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     # At most 1 / HOT_SHARE rows, whatever the size of the tables.
     hot = (
-        left.freqItems([key], HOT_SHARE)
+        keys_from.freqItems([key], HOT_SHARE)
         .select(F.explode(f"{key}_freqItems").alias(key))
         .where(F.col(key).isNotNull())
         .distinct()

@@ -58,17 +58,14 @@ def conform(transactions: DataFrame) -> DataFrame:
     )
 
 
-def enrich(
-    transactions: DataFrame, resolved: DataFrame, *, names_bytes: int, row_id: list[str] | None = None, **limit: int
-) -> DataFrame:
+def enrich(transactions: DataFrame, resolved: DataFrame, *, names_bytes: int, **join_options: object) -> DataFrame:
     """Transactions with ``merchant_name`` (the id when unknown) and a category that is never null.
 
-    ``names_bytes`` is a measured bound of the resolved ids and names.
+    ``names_bytes`` is a measured bound of the resolved ids and names. The other
+    options are those of :func:`lookup_join`.
     """
     names = resolved.where(F.col(KEY).isNotNull()).select(KEY, F.col("merchant_name").alias("_name"))
-    joined = lookup_join(
-        conform(transactions), names, KEY, "left", right_bytes=names_bytes, row_id=row_id, **limit
-    )
+    joined = lookup_join(conform(transactions), names, KEY, "left", right_bytes=names_bytes, **join_options)
     columns = [c for c in joined.columns if c not in (KEY, "_name", "merchant_name")]
     category = F.coalesce("category", F.lit(C.UNKNOWN_CATEGORY)).alias("category")
     return joined.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from merchantlake import contract as C
 from merchantlake.functions import columns as X
-from merchantlake.operators.reuse import shared_folder
+from merchantlake.operators.reuse import cut_lineage, shared_folder
 from merchantlake.plans import advisor, cities, gold_checks, quality, questions, reports, silver
 from merchantlake.sources import standin, tables
 
@@ -28,7 +28,10 @@ def _merchants(spark: SparkSession, d: str) -> DataFrame:
 
 def _silver(spark: SparkSession, d: str) -> DataFrame:
     return silver.enrich(
-        _tx(spark, d), silver.resolve_merchants(_merchants(spark, d)), names_bytes=standin.merchant_bytes(spark, d)
+        _tx(spark, d),
+        silver.resolve_merchants(_merchants(spark, d)),
+        names_bytes=standin.merchant_bytes(spark, d),
+        keys_from=standin.transaction_keys(spark, d),
     )
 
 
@@ -107,8 +110,11 @@ def monthly_volume(spark: SparkSession, d: str) -> DataFrame:
 
 
 def gold_frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    source = _silver(spark, d)
-    cells = cities.count_cells(source)
+    """All Gold tables, from Silver and cells that are stored once."""
+    path = _stored(spark, "silver")
+    tables.write_table(_silver(spark, d), path)
+    source = tables.read_table(spark, path)
+    cells = cut_lineage(cities.count_cells(source))
     top = cities.top_merchants_global(cells)
     return {
         "q1": questions.top_merchants(source),
@@ -159,6 +165,11 @@ def _report(source: Query, plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: plan(source(spark, d))
 
 
+def _stored_report(source: Query, plan: Callable[[DataFrame], DataFrame]) -> Query:
+    """For reports that read their Gold table more than once: it is stored first, as Gold is."""
+    return lambda spark, d: plan(cut_lineage(source(spark, d)))
+
+
 _q2 = _on_silver(questions.average_by_state)
 _q3 = _on_silver(questions.peak_hours)
 _q4 = _on_cells(cities.city_metrics, "city_id", "merchant_id", "category")
@@ -210,27 +221,27 @@ QUERIES: dict[str, Query] = {
     "dq_silver_anomalies": _on_silver(quality.silver_anomalies),
     # Reports
     "rep_q1_kpis": _report(_q1, reports.q1_kpis),
-    "rep_q1_months": _report(_q1, reports.q1_months),
-    "rep_q1_focus": _report(_q1, reports.q1_focus),
-    "rep_q1_city_trend": _report(_q1, reports.q1_city_trend),
+    "rep_q1_months": _stored_report(_q1, reports.q1_months),
+    "rep_q1_focus": _stored_report(_q1, reports.q1_focus),
+    "rep_q1_city_trend": _stored_report(_q1, reports.q1_city_trend),
     "rep_q1_city_choices": _report(_q1, lambda df: reports.choices(df, "City")),
     "rep_q2_state_summary": _rounded(_report(_q2, reports.q2_state_summary), "avg_of_avg"),
     "rep_q2_state_kpis": _rounded(_report(_q2, reports.q2_state_kpis), "top_avg_of_avg"),
-    "rep_q2_top_merchants": _report(_q2, reports.q2_top_merchants),
+    "rep_q2_top_merchants": _stored_report(_q2, reports.q2_top_merchants),
     "rep_q2_state_leaderboard": _rounded(_report(_q2, reports.q2_state_leaderboard), "avg_of_avg"),
     "rep_q3_overall_peak": _report(_q3, reports.q3_overall_peak),
-    "rep_q3_category": _report(_q3, reports.q3_category),
+    "rep_q3_category": _stored_report(_q3, reports.q3_category),
     "rep_q4_top_cities": _report(_q4, reports.q4_top_cities),
     "rep_q4_city_kpis": _report(_q4, reports.q4_city_kpis),
     "rep_q4_global_clean": _report(_q4_top, reports.q4_global_clean),
     "rep_q4_distribution_clean": _report(_q4_distribution, reports.q4_distribution_clean),
-    "rep_q4_local": _report(_q4_popularity, reports.q4_local),
+    "rep_q4_local": _stored_report(_q4_popularity, reports.q4_local),
     "rep_q5_kpis": _on_advisory(reports.q5_kpis),
     "rep_q5_pareto": _on_advisory(reports.q5_pareto),
     "rep_q5_categories": _on_advisory(reports.q5_categories),
     "rep_q5_peak_hours": _on_advisory(reports.q5_peak_hours),
     "rep_q5_profit_gap": _on_advisory(reports.q5_profit_gap),
-    "rep_q5_city_focus": _on_advisory(reports.q5_city_focus),
+    "rep_q5_city_focus": _stored_report(_on_advisory(lambda a: a), reports.q5_city_focus),
     "rep_month_over_month": _on_advisory(reports.month_over_month),
     "rep_pareto_cut": _on_silver(lambda s: reports.pareto_cut(advisor.advisory_cells(s))),
     "rep_installment_gap": _on_advisory(reports.installment_gap),

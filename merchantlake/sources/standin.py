@@ -38,6 +38,15 @@ def _merchant_id(part_key: Column) -> Column:
     return F.concat(F.lit("M_"), F.floor(part_key / 2).cast("bigint").cast("string"))
 
 
+def _null_or_id(part_key: Column) -> Column:
+    return F.when(part_key % 211 != 0, _merchant_id(part_key)).alias("merchant_id")
+
+
+def transaction_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merchant ids of :func:`transactions`, without its joins."""
+    return table(spark, sf_dir, "lineitem").select(_null_or_id(F.col("l_partkey")))
+
+
 def transactions(spark: SparkSession, sf_dir: str, broadcast_bytes: int | None = None) -> DataFrame:
     """Raw transactions: line items with their order's date, priority and customer."""
     limit = {} if broadcast_bytes is None else {"broadcast_bytes": broadcast_bytes}
@@ -55,7 +64,7 @@ def transactions(spark: SparkSession, sf_dir: str, broadcast_bytes: int | None =
     )
     part, customer, line = F.col("l_partkey"), F.col("o_custkey"), F.col("l_linenumber")
     return joined.select(
-        F.when(part % 211 != 0, _merchant_id(part)).alias("merchant_id"),
+        _null_or_id(part),
         F.col("l_extendedprice").alias("purchase_amount"),
         F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("category"),
         (F.col("o_orderdate") + F.make_dt_interval(hours=(part % 24).cast("int"))).alias("purchase_date"),

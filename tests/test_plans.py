@@ -39,6 +39,12 @@ def test_facts_are_scanned_once(spark, sf_dir, name):
     assert plan_of(QUERIES[name](spark, sf_dir)).count("lineitem.parquet") == 1
 
 
+@pytest.mark.parametrize("name", ["rep_q1_focus", "rep_q1_months", "rep_q2_top_merchants", "rep_q4_local", "dq_orphan_merchants"])
+def test_reports_that_read_gold_twice_read_a_stored_table(spark, sf_dir, name):
+    text = plan_of(QUERIES[name](spark, sf_dir))
+    assert "lineitem.parquet" not in text and "Scan ExistingRDD" in text
+
+
 @pytest.mark.parametrize("name", ["q1_top_merchants", "q3_peak_hours", "q4_merchant_popularity_by_city", "merchants_resolved"])
 def test_ranks_are_limited_before_the_shuffle(spark, sf_dir, name):
     assert re.search(r"WindowGroupLimit.*Partial", plan_of(QUERIES[name](spark, sf_dir)))
@@ -55,7 +61,7 @@ def test_only_needed_columns_are_read(spark, sf_dir):
 
 
 def test_no_row_goes_through_python(spark, sf_dir):
-    for name in set(QUERIES) - {"dq_schema_drift", "stored_layers_q1", "bronze_merchants"}:
+    for name in set(QUERIES) - {"dq_schema_drift", "stored_layers_q1", "bronze_merchants", "dq_gold_findings"}:
         text = plan_of(QUERIES[name](spark, sf_dir))
         assert "Python" not in text and "InPandas" not in text, name
 
