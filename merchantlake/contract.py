@@ -64,10 +64,10 @@ MIN_CITY_TRANSACTIONS = 50
 SCORE_WEIGHTS = (0.4, 0.4, 0.2)
 MAX_NULL_RATIO = 0.05
 
-# Money is added as exact decimals, so a total does not depend on the order in
-# which tasks finish. Totals of totals need more digits than single amounts.
-MONEY = T.DecimalType(18, 4)
-TOTALS = T.DecimalType(38, 4)
+# Money is added exactly, to four digits after the point, so a total does not
+# depend on the order in which tasks finish.
+MONEY_DIGITS = 4
+TOTALS = T.DecimalType(38, MONEY_DIGITS)
 
 # A table is broadcast only when it was measured to be at most this large.
 BROADCAST_BYTES = 64 * 1024 * 1024

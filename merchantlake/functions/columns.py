@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from merchantlake import contract as C
 
@@ -32,13 +33,25 @@ def city_label(city: Column) -> Column:
     return F.concat(F.lit(C.CITY_PREFIX), city.cast("string"))
 
 
-def exact_sum(amount: Column, unit: T.DecimalType = C.MONEY) -> Column:
-    """Order-independent sum of money, still a decimal."""
-    return F.sum(amount.cast(unit))
+def exact_sum(amount: Column) -> Column:
+    """Order-independent sum of amounts, as a decimal.
+
+    Whole units and the rest are added as two integers, which costs a small part
+    of adding decimals; an amount that is no number or too large is an error.
+    """
+    whole = amount.cast("bigint")
+    rest = F.rint((amount - whole) * 10.0**C.MONEY_DIGITS).cast("bigint")
+    smallest = F.lit(Decimal(1).scaleb(-C.MONEY_DIGITS))
+    return (F.sum(whole).cast(C.TOTALS) + F.sum(rest).cast("decimal(20,0)") * smallest).cast(C.TOTALS)
+
 
+def money_sum(amount: Column) -> Column:
+    return exact_sum(amount).cast("double")
 
-def money_sum(amount: Column, unit: T.DecimalType = C.MONEY) -> Column:
-    return exact_sum(amount, unit).cast("double")
+
+def sum_of_totals(total: Column) -> Column:
+    """Sum of a few totals, as a decimal."""
+    return F.sum(total.cast(C.TOTALS))
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -54,9 +67,13 @@ def letter_rank(letter: Column) -> Column:
     )
 
 
-def financing(installments: Column) -> Column:
+def is_financed(installments: Column) -> Column:
     """Null, zero and negative installments all mean a single payment."""
-    return F.when(installments > 0, F.lit(C.FINANCED)).otherwise(F.lit(C.NOT_FINANCED))
+    return F.coalesce(installments > 0, F.lit(False))
+
+
+def financing(financed: Column) -> Column:
+    return F.when(financed, F.lit(C.FINANCED)).otherwise(F.lit(C.NOT_FINANCED))
 
 
 def financed_revenue(amount: Column) -> Column:

@@ -28,7 +28,7 @@ def expected_values(silver: DataFrame) -> DataFrame:
         "city_id",
         "amount",
         "installments",
-        X.financing(F.col("installments")).alias("installments_flag"),
+        X.financing(X.is_financed(F.col("installments"))).alias("installments_flag"),
         X.financed_revenue(amount).alias("expected_revenue_installments"),
         with_profit.alias("expected_profit_installments"),
         without_profit.alias("expected_profit_no_installments"),
@@ -49,16 +49,16 @@ def advisory_cells(silver: DataFrame) -> DataFrame:
     keyed = silver.select(
         "city_id",
         "category",
-        X.financing(F.col("installments")).alias("flag"),
+        X.is_financed(F.col("installments")).alias("financed"),
         *X.month_keys(F.col("purchase_ts")),
         X.hour_of(F.col("purchase_ts")).alias("hour"),
-        F.col("amount").cast(C.MONEY).alias("amount"),
+        "amount",
     )
-    party, time = ["city_id", "category", "flag"], ["year", "month", "hour"]
+    party, time = ["city_id", "category", "financed"], ["year", "month", "hour"]
     return keyed.groupingSets([party, time], *party, *time).agg(
         (F.grouping("month") == 1).alias("is_party"),
         F.count(F.lit(1)).alias("n"),
-        F.sum("amount").alias("total"),
+        X.exact_sum(F.col("amount")).alias("total"),
     )
 
 
@@ -73,7 +73,7 @@ def _section_rows(cells: DataFrame) -> DataFrame:
             (none if flag is None else flag).alias("flag"),
         )
 
-    city, category, flag = F.col("city_id").cast("string"), F.col("category"), F.col("flag")
+    city, category, flag = F.col("city_id").cast("string"), F.col("category"), X.financing(F.col("financed"))
     party = F.array(
         row(C.SECTION_CITIES, city, None),
         row(C.SECTION_CATEGORIES, category, None),
@@ -90,7 +90,7 @@ def _section_rows(cells: DataFrame) -> DataFrame:
         cells.select(F.inline(F.when(F.col("is_party"), party).otherwise(time)), "n", "total")
         .where(~F.col("section").isin(*PER_CITY) | F.col("part").isNotNull())
         .groupBy("section", "part", "flag")
-        .agg(F.sum("n").alias("n"), F.sum(F.col("total").cast(C.TOTALS)).alias("total"))
+        .agg(F.sum("n").alias("n"), X.sum_of_totals(F.col("total")).alias("total"))
     )
 
 

@@ -246,8 +246,8 @@ def duplicate_impact(transactions: DataFrame, merchants: DataFrame) -> DataFrame
     stats = per_id.join(_repeated_ids(merchants), KEY, "left").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias("n_hit"),
-        F.coalesce(F.sum(F.col("total").cast(C.TOTALS)), zero).cast("double").alias("total"),
-        F.coalesce(F.sum(F.when(hit, F.col("total").cast(C.TOTALS))), zero).cast("double").alias("total_hit"),
+        F.coalesce(X.sum_of_totals(F.col("total")), zero).cast("double").alias("total"),
+        F.coalesce(X.sum_of_totals(F.when(hit, F.col("total"))), zero).cast("double").alias("total_hit"),
         F.coalesce(F.sum(F.col("n") * F.col("rows_for_id")), F.lit(0)).alias("joined"),
     )
     return stats.select(

@@ -45,7 +45,7 @@ def q1_kpis(q1: DataFrame) -> DataFrame:
         F.count_distinct("Month").alias("n_months"),
         F.count_distinct("City").alias("n_cities"),
         F.count_distinct("Merchant").alias("n_merchants"),
-        X.money_sum(F.col("Purchase Total"), C.TOTALS).alias("total_purchase"),
+        X.sum_of_totals(F.col("Purchase Total")).cast("double").alias("total_purchase"),
     )
 
 
@@ -70,7 +70,7 @@ def q1_city_trend(q1: DataFrame, city: str | None = None) -> DataFrame:
         _chosen(q1, "City", city)
         .where(F.col("Month").isNotNull())
         .groupBy("Month")
-        .agg(X.money_sum(F.col("Purchase Total"), C.TOTALS).alias("Purchase Total"))
+        .agg(X.sum_of_totals(F.col("Purchase Total")).cast("double").alias("Purchase Total"))
         .orderBy("Month")
     )
 
@@ -267,7 +267,7 @@ def pareto_cut(advisory_cells: DataFrame, share: float = 0.8) -> DataFrame:
     cities = (
         advisory_cells.where(F.col("is_party") & F.col("city_id").isNotNull())
         .groupBy("city_id")
-        .agg(F.sum(F.col("total").cast(C.TOTALS)).alias("total"))
+        .agg(X.sum_of_totals(F.col("total")).alias("total"))
     )
     everything = Window.partitionBy(F.lit(1))
     order = everything.orderBy(F.col("total").desc(), F.col("city_id").asc())

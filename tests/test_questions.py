@@ -265,3 +265,31 @@ def test_row_order_does_not_matter(spark, sf_dir, rows, plan, monkeypatch):
     ordered = standin.table
     monkeypatch.setattr(standin, "table", lambda *a: ordered(*a).orderBy(F.rand(7)).repartition(5))
     assert rows(queries.QUERIES[plan](spark, sf_dir)) == expected
+
+
+@pytest.mark.parametrize(
+    "amounts, total",
+    [
+        ([0.1] * 10, 1.0),
+        ([-0.1, -0.2, -5.75], -6.05),
+        ([0.99996, 0.00004], 1.0),
+        ([1e15, 0.25, -1e15], 0.25),
+        ([99.9999, None], 99.9999),
+        ([None], None),
+    ],
+)
+def test_money_is_added_to_four_digits(spark, amounts, total):
+    from merchantlake.functions import columns as X
+
+    df = spark.createDataFrame([(a,) for a in amounts], "amount double").repartition(3)
+    assert df.agg(X.money_sum(F.col("amount")).alias("s")).first().s == total
+
+
+@pytest.mark.parametrize("amount", [float("nan"), float("inf"), 1e19])
+def test_money_that_is_no_number_is_an_error(spark, amount):
+    from pyspark.errors import PySparkException
+
+    from merchantlake.functions import columns as X
+
+    with pytest.raises(PySparkException):
+        spark.createDataFrame([(amount,)], "amount double").agg(X.money_sum(F.col("amount"))).collect()
