@@ -72,7 +72,7 @@ TOTALS = T.DecimalType(38, MONEY_DIGITS)
 # A table is broadcast only when it was measured to be at most this large.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more rows than this is ranked across tasks rather than in one.
-MAX_GROUP_ROWS = 1_000_000
+MAX_GROUP_ROWS = 200_000
 
 MERCHANTS = T.StructType(
     [

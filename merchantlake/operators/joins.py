@@ -20,6 +20,10 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(total).first()[0]
 
 
+def is_small(size: int, broadcast_bytes: int = C.BROADCAST_BYTES) -> bool:
+    return size <= broadcast_bytes
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -37,7 +41,7 @@ def lookup_join(
     every task; otherwise both sides are shuffled with hot keys spread out. Hot keys
     are looked for in ``keys_from`` when ``left`` is costly to compute twice.
     """
-    if right_bytes <= broadcast_bytes:
+    if is_small(right_bytes, broadcast_bytes):
         return left.join(F.broadcast(right), key, how)
     return _spread_join(left, right, key, how, row_id, left if keys_from is None else keys_from)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from merchantlake import contract as C
 from merchantlake.functions import columns as X
+from merchantlake.operators.joins import is_small
 from merchantlake.operators.reuse import cut_lineage, shared_folder
 from merchantlake.plans import advisor, cities, gold_checks, quality, questions, reports, silver
 from merchantlake.sources import standin, tables
@@ -27,12 +28,15 @@ def _merchants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, d: str) -> DataFrame:
+    names_bytes = standin.merchant_bytes(spark, d)
+    by_position = not is_small(names_bytes)
     return silver.enrich(
-        _tx(spark, d),
+        standin.transactions(spark, d, position=by_position),
         silver.resolve_merchants(_merchants(spark, d)),
-        names_bytes=standin.merchant_bytes(spark, d),
+        names_bytes=names_bytes,
+        row_id=standin.POSITION if by_position else None,
         keys_from=standin.transaction_keys(spark, d),
-    )
+    ).drop(*standin.POSITION)
 
 
 def _stored(spark: SparkSession, name: str) -> str:

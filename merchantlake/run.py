@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchantlake import contract as C
-from merchantlake.operators.joins import measured_bytes
+from merchantlake.operators.joins import is_small, measured_bytes
 from merchantlake.operators.reuse import cut_lineage
 from merchantlake.plans import advisor, cities, gold_checks, quality, questions, silver
 from merchantlake.sources import paths, tables
@@ -70,14 +70,12 @@ def run_silver(spark: SparkSession, settings: Settings, partition_by_month: bool
     tables.write_table(silver.audit_duplicates(merchants), settings.at("silver", "merchants_duplicates_audit"))
 
     resolved = tables.read_table(spark, resolved_path)
-    place = {"_file": F.col("_metadata.file_path"), "_index": F.col("_metadata.row_index")}
-    transactions = tables.read_table(spark, settings.at("bronze", "transactions")).withColumns(place)
-    enriched = silver.enrich(
-        transactions,
-        resolved,
-        names_bytes=measured_bytes(resolved.select("merchant_id", "merchant_name")),
-        row_id=list(place),
-    ).drop(*place)
+    names_bytes = measured_bytes(resolved.select("merchant_id", "merchant_name"))
+    transactions, row_id = tables.read_table(spark, settings.at("bronze", "transactions")), None
+    if not is_small(names_bytes):
+        place = {"_file": F.col("_metadata.file_path"), "_index": F.col("_metadata.row_index")}
+        transactions, row_id = transactions.withColumns(place), list(place)
+    enriched = silver.enrich(transactions, resolved, names_bytes=names_bytes, row_id=row_id).drop(*(row_id or []))
     C.assert_contract(enriched, C.SILVER, "enriched_transactions")
     if partition_by_month:
         year, month = MONTH_FOLDERS

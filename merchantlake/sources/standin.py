@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchantlake.operators.joins import lookup_join, measured_bytes
+from merchantlake import contract as C
+from merchantlake.operators.joins import is_small, lookup_join, measured_bytes
 
 # Columns of the input tables in use. Declared, a read needs no pass over footers.
 SCHEMAS = {
@@ -19,6 +20,7 @@ SCHEMAS = {
     "customer": "c_custkey bigint, c_nationkey int",
     "part": "p_partkey bigint, p_name string, p_brand string, p_size int, p_retailprice double",
 }
+POSITION = ["_file", "_index"]
 _MEASURED: dict[tuple[str, str, tuple[str, ...]], int] = {}
 
 
@@ -47,21 +49,25 @@ def transaction_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(_null_or_id(F.col("l_partkey")))
 
 
-def transactions(spark: SparkSession, sf_dir: str, broadcast_bytes: int | None = None) -> DataFrame:
-    """Raw transactions: line items with their order's date, priority and customer."""
-    limit = {} if broadcast_bytes is None else {"broadcast_bytes": broadcast_bytes}
+def transactions(
+    spark: SparkSession, sf_dir: str, broadcast_bytes: int | None = None, position: bool = False
+) -> DataFrame:
+    """Raw transactions: line items with their order's date, priority and customer.
+
+    ``position`` keeps the line's file and row as ``POSITION``, for joins that spread copies.
+    """
+    limit = {"broadcast_bytes": C.BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes}
+    order_bytes = table_bytes(spark, sf_dir, "orders", *table(spark, sf_dir, "orders").columns)
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    orders = table(spark, sf_dir, "orders")
     placed = lookup_join(
-        orders, customers, "o_custkey", "inner",
+        table(spark, sf_dir, "orders"), customers, "o_custkey", "inner",
         right_bytes=table_bytes(spark, sf_dir, "customer", "c_custkey", "c_nationkey"), **limit,
     ).withColumnRenamed("o_orderkey", "l_orderkey")
-    lines = table(spark, sf_dir, "lineitem")
-    joined = lookup_join(
-        lines, placed, "l_orderkey", "inner",
-        right_bytes=table_bytes(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
-        **limit,
-    )
+    lines, row_id = table(spark, sf_dir, "lineitem"), None
+    if position or not is_small(order_bytes, **limit):
+        place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+        lines, row_id = lines.select("*", *[c.alias(n) for c, n in zip(place, POSITION)]), POSITION
+    joined = lookup_join(lines, placed, "l_orderkey", "inner", right_bytes=order_bytes, row_id=row_id, **limit)
     part, customer, line = F.col("l_partkey"), F.col("o_custkey"), F.col("l_linenumber")
     return joined.select(
         _null_or_id(part),
@@ -71,6 +77,7 @@ def transactions(spark: SparkSession, sf_dir: str, broadcast_bytes: int | None =
         F.when(customer % 97 != 13, F.floor(F.sqrt(customer * 3)).cast("int")).alias("city_id"),
         F.when(F.col("c_nationkey") == 0, F.lit(-1)).otherwise(F.col("c_nationkey")).alias("state_id"),
         F.when(line != 7, line - 1).alias("installments"),
+        *(POSITION if position else []),
     )
 
 

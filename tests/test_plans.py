@@ -72,3 +72,13 @@ def test_large_inputs_are_joined_without_broadcast(spark, sf_dir, rows):
     assert "BroadcastExchange" in plan_of(small)
     assert plan_of(large).count("_salt") > 0
     assert rows(large) == rows(small)
+
+
+def test_names_are_joined_the_same_without_broadcast(spark, sf_dir, rows, monkeypatch):
+    small = QUERIES["enriched_transactions"](spark, sf_dir)
+    monkeypatch.setattr(standin, "table_bytes", lambda *a: 1 << 60)
+    large = QUERIES["enriched_transactions"](spark, sf_dir)
+    assert small.columns == large.columns
+    assert "row_index" not in plan_of(small) and plan_of(large).count("SortMergeJoin") >= 2
+    assert rows(large) == rows(small)
+    assert rows(QUERIES["q5_advisory_summary"](spark, sf_dir)) != []

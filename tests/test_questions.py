@@ -293,3 +293,14 @@ def test_money_that_is_no_number_is_an_error(spark, amount):
 
     with pytest.raises(PySparkException):
         spark.createDataFrame([(amount,)], "amount double").agg(X.money_sum(F.col("amount"))).collect()
+
+
+def test_timestamps_may_be_text(spark, silver, rows):
+    data = [row("a", 2.0, ts=dt.datetime(2017, 3, 4, 5, 6)), row("b", 3.0, ts=dt.datetime(2017, 12, 31, 23, 0))]
+    typed = silver(*data)
+    text = typed.withColumn("purchase_ts", F.col("purchase_ts").cast("string"))
+    zoned = typed.withColumn("purchase_ts", F.col("purchase_ts").cast("timestamp"))
+    for other in (text, zoned):
+        assert rows(questions.top_merchants(other)) == rows(questions.top_merchants(typed))
+        assert rows(questions.peak_hours(other)) == rows(questions.peak_hours(typed))
+        assert rows(advisor.advisory_cells(other)) == rows(advisor.advisory_cells(typed))
