@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchantlake.operators.reuse import cut_lineage
+from merchantlake.operators.reuse import store
 
 
 def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "_rank") -> DataFrame:
@@ -25,12 +25,12 @@ def number_rows(df: DataFrame, key: str, order: list[Column], rank: str) -> Data
     folded into one row with a count, so copies cannot pile up. The distinct rows
     are range-partitioned by (key, order): each task numbers its slice, and a slice
     starts where the slices before it end. The placement comes from sampling, so it
-    is checkpointed before it is used twice.
+    is stored before it is used twice.
     """
     columns = df.columns
     folded = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut_lineage(
+    placed = store(
         folded.repartitionByRange(parts, F.col(key), *order).withColumn("_slice", F.spark_partition_id())
     )
 

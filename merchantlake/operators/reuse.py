@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,15 +14,20 @@ def shared_folder(spark: SparkSession) -> str:
     Only a session that names none (a local test) gets a temporary one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named is None:
-        named = tempfile.mkdtemp(prefix="merchantlake-")
-        spark.sparkContext.setCheckpointDir(named)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store ``df`` once in the shared folder; later plans read it and survive lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    return named or tempfile.mkdtemp(prefix="merchantlake-")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A place in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
+
+
+def store(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write ``df`` once to the shared folder and read it from there.
+
+    Later plans neither compute it again nor depend on the executors that made it,
+    and read only the columns they need.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from merchantlake import contract as C
 from merchantlake.functions import columns as X
 from merchantlake.operators.joins import lookup_join, measured_bytes
-from merchantlake.operators.reuse import cut_lineage
+from merchantlake.operators.reuse import store
 
 KEY = "merchant_id"
 
@@ -140,7 +140,7 @@ def orphan_merchants(transactions: DataFrame, merchants: DataFrame) -> DataFrame
 
 def orphan_summary(transactions: DataFrame, merchants: DataFrame, sample: int = 15) -> DataFrame:
     """How many orphan ids there are, and the first few. The ids are stored once for both."""
-    orphans = cut_lineage(orphan_merchants(transactions, merchants))
+    orphans = store(orphan_merchants(transactions, merchants))
     few = orphans.orderBy(KEY).limit(sample).agg(F.array_join(F.sort_array(F.collect_list(KEY)), "|"))
     return orphans.agg(F.count(F.lit(1)).alias("n_orphans")).withColumn("sample", few.scalar())
 

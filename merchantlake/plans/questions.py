@@ -10,33 +10,30 @@ from merchantlake.functions import columns as X
 from merchantlake.operators.rank import top_n
 
 
-def top_merchants(silver: DataFrame, n: int = C.TOP_PER_MONTH_CITY) -> DataFrame:
+def top_merchants(silver: DataFrame, n: int = C.TOP_PER_MONTH_CITY, ordered: bool = True) -> DataFrame:
     """Q1: the merchants with the largest purchase total in each month and city."""
     totals = silver.groupBy(
         *X.month_keys(F.col("purchase_ts")), "city_id", F.col("merchant_name").alias("Merchant")
     ).agg(X.money_sum(F.col("amount")).alias("Purchase Total"), F.count(F.lit(1)).alias("No of sales"))
     order = [F.col("Purchase Total").desc(), F.col("Merchant").asc()]
-    return (
-        top_n(totals, ["year", "month", "city_id"], order, n)
-        .select(
-            X.month_label(F.col("year"), F.col("month")).alias("Month"),
-            X.city_label(F.col("city_id")).alias("City"),
-            "Merchant",
-            "Purchase Total",
-            "No of sales",
-        )
-        .orderBy("Month", "City", *order)
+    top = top_n(totals, ["year", "month", "city_id"], order, n).select(
+        X.month_label(F.col("year"), F.col("month")).alias("Month"),
+        X.city_label(F.col("city_id")).alias("City"),
+        "Merchant",
+        "Purchase Total",
+        "No of sales",
     )
+    return top.orderBy("Month", "City", *order) if ordered else top
 
 
-def average_by_state(silver: DataFrame) -> DataFrame:
+def average_by_state(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Q2: the average amount of each merchant in each state, largest first."""
     average = X.ratio(X.exact_sum(F.col("amount")), F.count("amount"))
-    return (
-        silver.groupBy(F.col("merchant_name").alias("Merchant"), F.col("state_id").alias("State ID"))
-        .agg(average.alias("Average Amount"))
-        .orderBy(F.col("Average Amount").desc(), F.col("Merchant").asc(), F.col("State ID").asc())
+    averages = silver.groupBy(F.col("merchant_name").alias("Merchant"), F.col("state_id").alias("State ID")).agg(
+        average.alias("Average Amount")
     )
+    order = [F.col("Average Amount").desc(), F.col("Merchant").asc(), F.col("State ID").asc()]
+    return averages.orderBy(*order) if ordered else averages
 
 
 def peak_hours(silver: DataFrame, n: int = C.TOP_HOURS) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from merchantlake import contract as C
 from merchantlake.functions import columns as X
 from merchantlake.operators.joins import is_small
-from merchantlake.operators.reuse import cut_lineage, shared_folder
+from merchantlake.operators.reuse import new_path, store
 from merchantlake.plans import advisor, cities, gold_checks, quality, questions, reports, silver
 from merchantlake.sources import standin, tables
 
@@ -39,11 +38,6 @@ def _silver(spark: SparkSession, d: str) -> DataFrame:
     ).drop(*standin.POSITION)
 
 
-def _stored(spark: SparkSession, name: str) -> str:
-    """A new place in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
-
-
 def _on_silver(plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: plan(_silver(spark, d))
 
@@ -73,14 +67,14 @@ def bronze_transactions(spark: SparkSession, d: str) -> DataFrame:
 
 def bronze_merchants(spark: SparkSession, d: str) -> DataFrame:
     """The merchants as a CSV file would bring them."""
-    path = _stored(spark, "merchants-csv")
+    path = new_path(spark, "merchants-csv")
     tables.write_report(_merchants(spark, d), path, "csv")
     return tables.with_lineage(tables.read_merchants(spark, path), "merchants", INGESTED_AT)
 
 
 def stored_layers_q1(spark: SparkSession, d: str) -> DataFrame:
     """Bronze to Silver to Gold through stored tables, as a run does it."""
-    root = _stored(spark, "layers")
+    root = new_path(spark, "layers")
     tables.write_table(bronze_transactions(spark, d), f"{root}/bronze/transactions")
     tables.write_table(tables.with_lineage(_merchants(spark, d), "merchants", INGESTED_AT), f"{root}/bronze/merchants")
     transactions = tables.read_table(spark, f"{root}/bronze/transactions")
@@ -115,10 +109,8 @@ def monthly_volume(spark: SparkSession, d: str) -> DataFrame:
 
 def gold_frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """All Gold tables, from Silver and cells that are stored once."""
-    path = _stored(spark, "silver")
-    tables.write_table(_silver(spark, d), path)
-    source = tables.read_table(spark, path)
-    cells = cut_lineage(cities.count_cells(source))
+    source = store(_silver(spark, d), "silver")
+    cells = store(cities.count_cells(source))
     top = cities.top_merchants_global(cells)
     return {
         "q1": questions.top_merchants(source),
@@ -161,20 +153,20 @@ def _rounded(query: Query, *columns: str) -> Query:
     return lambda spark, d: query(spark, d).withColumns({c: F.round(c, 4) for c in columns})
 
 
-def _q1(spark: SparkSession, d: str) -> DataFrame:
-    return questions.top_merchants(_silver(spark, d))
-
-
 def _report(source: Query, plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: plan(source(spark, d))
 
 
+# Reports sort for themselves, so their sources are left unsorted.
+_q1 = _on_silver(lambda s: questions.top_merchants(s, ordered=False))
+_q2 = _on_silver(lambda s: questions.average_by_state(s, ordered=False))
+
+
 def _stored_report(source: Query, plan: Callable[[DataFrame], DataFrame]) -> Query:
     """For reports that read their Gold table more than once: it is stored first, as Gold is."""
-    return lambda spark, d: plan(cut_lineage(source(spark, d)))
+    return lambda spark, d: plan(store(source(spark, d)))
 
 
-_q2 = _on_silver(questions.average_by_state)
 _q3 = _on_silver(questions.peak_hours)
 _q4 = _on_cells(cities.city_metrics, "city_id", "merchant_id", "category")
 _q4_top = _on_cells(cities.top_merchants_global, *MERCHANT_CELL)
@@ -190,8 +182,8 @@ QUERIES: dict[str, Query] = {
     "enriched_transactions": _silver,
     "stored_layers_q1": stored_layers_q1,
     # Questions
-    "q1_top_merchants": _q1,
-    "q2_avg_by_state": _q2,
+    "q1_top_merchants": _on_silver(questions.top_merchants),
+    "q2_avg_by_state": _on_silver(questions.average_by_state),
     "q3_peak_hours": _q3,
     "q4_city_metrics": _q4,
     "q4_city_category_association": q4_association,

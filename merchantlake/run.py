@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from merchantlake import contract as C
 from merchantlake.operators.joins import is_small, measured_bytes
-from merchantlake.operators.reuse import cut_lineage
+from merchantlake.operators.reuse import store
 from merchantlake.plans import advisor, cities, gold_checks, quality, questions, silver
 from merchantlake.sources import paths, tables
 
@@ -105,7 +105,7 @@ def _gold_q3(spark: SparkSession, source: DataFrame, settings: Settings) -> None
 
 def _gold_q4(spark: SparkSession, source: DataFrame, settings: Settings) -> None:
     """Five tables from one scan: the cells are stored before they are rolled up."""
-    cells = cut_lineage(cities.count_cells(source))
+    cells = store(cities.count_cells(source))
     tables.write_table(cities.city_metrics(cells), _gold(settings, "q4"))
     tables.write_table(cities.city_category_association(cells), _gold(settings, "q4_association"), small=True)
     tables.write_table(cities.top_merchants_global(cells), _gold(settings, "q4_top_merchants"), small=True)
