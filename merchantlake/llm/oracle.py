@@ -19,7 +19,7 @@ QUALITY_RULES = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents
 ), e AS (
-  SELECT doc_id, t, w, list_filter(string_split(t, chr(10)), x -> trim(x, {_WHITE}) <> '') AS l FROM d
+  SELECT doc_id, t, w, list_filter(string_split(t, chr(10)), lambda x: trim(x, {_WHITE}) <> '') AS l FROM d
 ), windows AS (
   SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i : i + 4]) AS times
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM e WHERE len(w) >= 5)
@@ -31,9 +31,9 @@ WITH d AS (
   SELECT e.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
-    len(list_filter(w, x -> x IN ({_STOPS}))) AS n_stop_words, len(l) AS n_lines,
-    len(list_filter(l, x -> ends_with(rtrim(x), '...') OR ends_with(rtrim(x), '…'))) AS n_ellipsis_lines,
-    len(list_filter(l, x -> ltrim(x)[1] IN ('-', '*', '•'))) AS n_bullet_lines
+    len(list_filter(w, lambda x: x IN ({_STOPS}))) AS n_stop_words, len(l) AS n_lines,
+    len(list_filter(l, lambda x: ends_with(rtrim(x), '...') OR ends_with(rtrim(x), '…'))) AS n_ellipsis_lines,
+    len(list_filter(l, lambda x: ltrim(x)[1] IN ('-', '*', '•'))) AS n_bullet_lines
   FROM e LEFT JOIN repeats r ON e.doc_id IS NOT DISTINCT FROM r.doc_id
 ), judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted
@@ -83,3 +83,18 @@ SELECT d.doc_id, d.size, p.source_size, p.target,
 FROM d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 LEFT JOIN cuts k ON d.source IS NOT DISTINCT FROM k.source
 """
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+ARCHIVED_PAGES = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS digest,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages
+)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda k: '{_BASE32}'[
+    (('0x' || digest[5 * (k // 4) + 1 : 5 * (k // 4) + 5])::INT >> (15 - 5 * (k % 4))::INT) % 32 + 1]), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM p
+"""

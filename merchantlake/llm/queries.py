@@ -7,9 +7,29 @@ from pyspark.sql import functions as F
 
 from merchantlake.llm import oracle
 from merchantlake.llm.common import table
+from merchantlake.llm.language_mix import languages
+from merchantlake.llm.quality_ordinal import quality_grades
 from merchantlake.llm.quality_rules import quality_rules
 from merchantlake.llm.simhash_trie import simhash_components
 from merchantlake.llm.source_mix import mix_sources
+from merchantlake.llm.token_scan import token_counts
+from merchantlake.llm.toxicity_nb import toxicity
+from merchantlake.llm.warc_index import archived_pages
+
+
+def op2_quality_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings: 0 for bad text, 1 for good but toxic text, 2 for good text that is not toxic."""
+    labels = table(spark, sf_dir, "labels")
+    ratings = labels.select("doc_id", (F.col("quality") * (2 - F.col("toxic"))).cast("int").alias("rating"))
+    return quality_grades(table(spark, sf_dir, "documents"), ratings, "rating")
+
+
+def op3_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents")).drop("mixture")
+
+
+def op4_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +41,10 @@ def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -29,9 +53,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op2_quality_ordinal": op2_quality_ordinal,
+    "op3_language_mix": op3_language_mix,
+    "op4_token_scan": op4_token_scan,
     "op5_source_mix": op5_source_mix,
     "op6_simhash_trie": op6_simhash_trie,
+    "op7_warc_index": op7_warc_index,
     "op9_quality_rules": op9_quality_rules,
+    "op10_toxicity_nb": op10_toxicity_nb,
+}
+ORACLE = {
+    "op5_source_mix": oracle.SOURCE_MIX,
+    "op7_warc_index": oracle.ARCHIVED_PAGES,
+    "op9_quality_rules": oracle.QUALITY_RULES,
 }
-ORACLE = {"op5_source_mix": oracle.SOURCE_MIX, "op9_quality_rules": oracle.QUALITY_RULES}
