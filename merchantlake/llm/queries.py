@@ -7,16 +7,22 @@ from pyspark.sql import functions as F
 
 from merchantlake.llm import oracle
 from merchantlake.llm.common import table
+from merchantlake.llm.decontaminate import contaminated
 from merchantlake.llm.language_mix import languages
 from merchantlake.llm.quality_ordinal import quality_grades
 from merchantlake.llm.quality_rules import quality_rules
 from merchantlake.llm.simhash_trie import simhash_components
 from merchantlake.llm.source_mix import mix_sources
+from merchantlake.llm.suffix_dedup import suffix_dedup
 from merchantlake.llm.token_scan import token_counts
 from merchantlake.llm.toxicity_nb import toxicity
 from merchantlake.llm.warc_index import archived_pages
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op2_quality_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings: 0 for bad text, 1 for good but toxic text, 2 for good text that is not toxic."""
     labels = table(spark, sf_dir, "labels")
@@ -45,6 +51,10 @@ def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -58,12 +68,14 @@ def op10_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_ordinal": op2_quality_ordinal,
     "op3_language_mix": op3_language_mix,
     "op4_token_scan": op4_token_scan,
     "op5_source_mix": op5_source_mix,
     "op6_simhash_trie": op6_simhash_trie,
     "op7_warc_index": op7_warc_index,
+    "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity_nb": op10_toxicity_nb,
 }
