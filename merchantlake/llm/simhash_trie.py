@@ -27,8 +27,9 @@ BITS = 64
 SHINGLE = 3
 BUDGET = 3
 PREFIX = 16
-LEAF_ROWS = 8192
-MAX_LEAVES = 2048
+# A leaf holds about a 64th of the fingerprints, within these bounds, so that small and large tables are copied to about as
+# many node pairs; the number of leaves is bounded, and with it that of their pairs.
+LEAVES, LEAST_LEAF, LARGEST_LEAF, MAX_LEAVES = 64, 256, 1 << 20, 2048
 # Two ranges with no more pairs than this are compared pair by pair instead of being split further.
 SMALL_AREA = 48
 PAIRS_AT_ONCE = 1 << 20
@@ -240,7 +241,8 @@ def trie_links(values: DataFrame, budget: int = BUDGET) -> DataFrame:
     prefix = F.shiftrightunsigned("fp", BITS - PREFIX)
     # At most 2**16 counts, whatever the size of the table.
     counts = {r[0]: r[1] for r in values.groupBy(prefix.alias("prefix")).count().collect()}
-    limit = max(LEAF_ROWS, -(-sum(counts.values()) // MAX_LEAVES))
+    total = sum(counts.values())
+    limit = max(min(max(total // LEAVES, LEAST_LEAF), LARGEST_LEAF), -(-total // MAX_LEAVES))
     nodes = _cut(counts, limit)
     leaves = {node: k for k, node in enumerate(sorted(n for n, is_leaf in nodes.items() if is_leaf))}
     of_prefix = [(p, next(leaves[(d, p >> (PREFIX - d))] for d in range(PREFIX + 1) if (d, p >> (PREFIX - d)) in leaves)) for p in counts]
