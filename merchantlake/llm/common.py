@@ -37,6 +37,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(True))
 
 
+def with_text_id(given: DataFrame) -> DataFrame:
+    """(doc_id, held_out, text) for pandas, which would turn integer ids beside nulls into floats: ids as text."""
+    return given.select(F.col("doc_id").cast("string").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+
+
 def packed(docs: DataFrame, name: str = "document") -> Column:
     """The whole input row as one struct, so that its names cannot clash with an operator's."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchantlake.llm.common import held_out
+from merchantlake.llm.common import with_text_id
 from merchantlake.llm.ngrams import counted
 from merchantlake.llm.training import labelled_sample
 
@@ -150,7 +150,6 @@ def languages(
                 "mixture": [{names[k]: float(m[k]) for k in np.flatnonzero(m)} if on else {} for m, on in zip(mix, letters)],
             })
 
-    id_type = given.schema["doc_id"].dataType.simpleString()
-    shaped = given.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    schema = f"doc_id {id_type}, held_out boolean, lang_pred string, score double, mixture map<string,double>"
-    return shaped.mapInPandas(predict, schema)
+    schema = "doc_id string, held_out boolean, lang_pred string, score double, mixture map<string,double>"
+    predicted = with_text_id(given).mapInPandas(predict, schema)
+    return predicted.withColumn("doc_id", F.col("doc_id").cast(given.schema["doc_id"].dataType))

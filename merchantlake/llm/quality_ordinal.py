@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchantlake.llm.common import held_out, logistic
+from merchantlake.llm.common import logistic, with_text_id
 from merchantlake.llm.ngrams import counted, minimise
 from merchantlake.llm.training import fitted, labelled_sample
 
@@ -146,7 +146,6 @@ def quality_grades(
                 "grade": model.grades[(tails >= 0.5).sum(axis=1)].astype("int32"), "selected": tail >= SELECT_AT,
             })
 
-    id_type = given.schema["doc_id"].dataType.simpleString()
-    shaped = given.withColumn("held_out", held_out(F.col("doc_id")))
-    schema = f"doc_id {id_type}, held_out boolean, expected_grade double, tail_probability double, grade int, selected boolean"
-    return shaped.mapInPandas(predict, schema)
+    schema = "doc_id string, held_out boolean, expected_grade double, tail_probability double, grade int, selected boolean"
+    predicted = with_text_id(given).mapInPandas(predict, schema)
+    return predicted.withColumn("doc_id", F.col("doc_id").cast(given.schema["doc_id"].dataType))

@@ -94,9 +94,9 @@ def _fingerprints(shingle: int):
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp), one row per document, fp as a signed 64-bit number."""
-    given = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    id_type = given.schema["doc_id"].dataType.simpleString()
-    return given.mapInPandas(_fingerprints(shingle), f"doc_id {id_type}, fp bigint")
+    given = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    found = given.mapInPandas(_fingerprints(shingle), "doc_id string, fp bigint")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
 def _cut(counts: dict[int, int], limit: int) -> dict[tuple[int, int], bool]:

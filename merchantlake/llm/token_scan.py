@@ -67,10 +67,9 @@ def write_token_files(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     A task that is run again writes another file. Only files that the stored table names are part of the result.
     """
     folder = new_path(docs.sparkSession, "tokens")
-    given = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    id_type = given.schema["doc_id"].dataType.simpleString()
-    order = given.mapInPandas(_write(folder, vocabulary), f"file string, ordinal bigint, doc_id {id_type}")
-    return folder, store(order, "token-order")
+    given = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    order = given.mapInPandas(_write(folder, vocabulary), "file string, ordinal bigint, doc_id string")
+    return folder, store(order.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType)), "token-order")
 
 
 def _sizes(folder: str):

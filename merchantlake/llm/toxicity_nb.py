@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchantlake.llm.common import held_out, logistic
+from merchantlake.llm.common import logistic, with_text_id
 from merchantlake.llm.ngrams import counted, minimise
 from merchantlake.llm.training import fitted, labelled_sample
 
@@ -110,6 +110,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
             s = model.scores(batch["text"].tolist())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": s, "predicted": (s >= 0.5).astype("int32")})
 
-    id_type = given.schema["doc_id"].dataType.simpleString()
-    shaped = given.withColumn("held_out", held_out(F.col("doc_id")))
-    return shaped.mapInPandas(score, f"doc_id {id_type}, held_out boolean, score double, predicted int")
+    scored = with_text_id(given).mapInPandas(score, "doc_id string, held_out boolean, score double, predicted int")
+    return scored.withColumn("doc_id", F.col("doc_id").cast(given.schema["doc_id"].dataType))

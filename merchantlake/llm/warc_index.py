@@ -162,13 +162,13 @@ def read_records(folder: str, selected: DataFrame, with_payload: bool = False) -
     # Only names are listed here; nothing asks for the files' content.
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
     paths = listed.select(F.regexp_extract("path", r"file_no=(\d+)/", 1).cast("int").alias("file_no"), "path")
-    id_type = selected.schema["page_id"].dataType.simpleString()
-    schema = f"page_id {id_type}, record_type string, payload_digest string, payload_bytes bigint, url string, refers_to string, record_id string"
-    places = selected.select("file_no", "offset", "length", "page_id").join(paths, "file_no")
+    schema = "page_id string, record_type string, payload_digest string, payload_bytes bigint, url string, refers_to string, record_id string"
+    places = selected.select("file_no", "offset", "length", F.col("page_id").cast("string").alias("page_id")).join(paths, "file_no")
     sorted_places = places.repartition(partitions(spark), "file_no").sortWithinPartitions("file_no", "offset")
-    return sorted_places.select("path", "offset", "length", "page_id").mapInPandas(
+    read = sorted_places.select("path", "offset", "length", "page_id").mapInPandas(
         _read(with_payload), schema + (", payload binary" if with_payload else "")
     )
+    return read.withColumn("page_id", F.col("page_id").cast(selected.schema["page_id"].dataType))
 
 
 def archived_pages(pages: DataFrame, **names: str) -> DataFrame:
