@@ -39,49 +39,90 @@ def _sorted_shards(text: np.ndarray, shard: np.ndarray, following: np.ndarray) -
         jump = jump[jump]
 
 
-def merge(strings: list[bytes], shard_of: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(owner, offset, common) of every position of the merged order.
-
-    ``common`` is the length of the prefix shared with the position before, up to ``depth``. Strings must differ, and
-    no string may hold the terminator.
-    """
+def _shards(strings: list[bytes], shard_of: np.ndarray):
+    """Owner and offset of every position, positions by shard and rotation, their transforms, and last-to-first steps."""
     text, starts, owner, following = _layout(strings)
     shard = np.asarray(shard_of, dtype=np.int64)[owner]
     places = _sorted_shards(text, shard, following)
     before = np.empty_like(following)
     before[following] = np.arange(len(text))
     transform = text[before[places]]
-    step = np.empty(len(text), dtype=np.int32)
-    step[np.argsort(shard[places] * 256 + transform, kind="stable")] = np.arange(len(text), dtype=np.int32)
+    step = np.empty(len(text), dtype=np.int64)
+    step[np.argsort(shard[places] * 256 + transform, kind="stable")] = np.arange(len(text))
+    return owner[places], places - starts[owner[places]], transform, step
+
+
+def _round(merged: np.ndarray, block: np.ndarray, transform: np.ndarray, step: np.ndarray):
+    """One stable pass: the new order, and where its blocks begin."""
+    symbol = transform.take(merged)
+    stable = symbol.argsort(kind="stable")
+    symbol, block = symbol.take(stable), block.take(stable)
+    begins = np.empty(len(merged), dtype=bool)
+    begins[:1] = True
+    np.not_equal(symbol[1:], symbol[:-1], out=begins[1:])
+    begins[1:] |= block[1:] != block[:-1]
+    return step.take(merged.take(stable)), begins
+
+
+def merge(strings: list[bytes], shard_of: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, offset, common) of every position of the merged order.
 
-    merged = np.arange(len(text), dtype=np.int32)
-    block = np.zeros(len(text), dtype=np.int32)
-    common = np.full(len(text), depth, dtype=np.int32)
-    common[0], blocks = 0, 1
+    ``common`` is the length of the prefix shared with the position before, up to ``depth``. Strings must differ, and
+    no string may hold the terminator.
+    """
+    owner, offset, transform, step = _shards(strings, shard_of)
+    merged = np.arange(len(step))
+    block = np.zeros(len(step), dtype=np.int64)
+    common = np.full(len(step), depth, dtype=np.int64)
+    common[:1], blocks = 0, 1
     for shared in range(depth):
-        symbol = transform[merged]
-        stable = np.argsort(symbol, kind="stable")
-        merged = step[merged[stable]]
-        symbol, block = symbol[stable], block[stable]
-        begins = np.empty(len(text), dtype=bool)
-        begins[0] = True
-        begins[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
+        merged, begins = _round(merged, block, transform, step)
         common[begins & (common == depth)] = shared
-        block = np.cumsum(begins, dtype=np.int32) - 1
+        block = np.cumsum(begins) - 1
         # A round that splits nothing is followed by none that does.
         if block[-1] + 1 == blocks:
             break
         blocks = int(block[-1]) + 1
-    at = places[merged]
-    return owner[at], at - starts[owner[at]], common
+    return owner[merged], offset[merged], common
+
+
+def repeated_intervals(strings: list[bytes], shard_of: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, offset, interval) of the positions that share ``depth`` symbols with another, interval by interval.
+
+    The same rounds as in :func:`merge`. A position alone in its block has a prefix of its own, and so has, from the next
+    round on, the position before it in its string: such positions are left out of further rounds.
+    """
+    owner, offset, transform, step = _shards(strings, shard_of)
+    merged = np.arange(len(step))
+    block, blocks = np.zeros(len(step), dtype=np.int64), 1
+    for _ in range(depth):
+        merged, begins = _round(merged, block, transform, step)
+        alone = begins.copy()
+        alone[:-1] &= begins[1:]
+        block = np.cumsum(begins) - 1
+        left_out = np.count_nonzero(alone)
+        if not left_out and len(block) and block[-1] + 1 == blocks:
+            break
+        if 8 * left_out > len(merged):
+            merged, block = merged[~alone], block[~alone]
+            block = np.cumsum(np.diff(block, prepend=-1) != 0) - 1
+        if not len(merged):
+            break
+        blocks = int(block[-1]) + 1
+    alone = np.diff(block, prepend=-1) != 0
+    alone[:-1] &= alone[1:]
+    merged, block = merged[~alone], block[~alone]
+    return owner[merged], offset[merged], block
 
 
 def later_windows(strings: list[bytes], windows: np.ndarray, shard_of: np.ndarray, depth: int) -> np.ndarray:
     """(string, offset) of each of the first ``windows[string]`` offsets whose ``depth`` bytes occur in an earlier string."""
-    owner, offset, common = merge(strings, shard_of, depth)
+    owner, offset, interval = repeated_intervals(strings, shard_of, depth)
     counted = offset < windows[owner]
-    interval = np.flatnonzero(common < depth)
-    first = np.minimum.reduceat(np.where(counted, owner, len(strings)), interval)
-    first = np.repeat(first, np.diff(np.append(interval, len(owner))))
-    later = np.flatnonzero(counted & (owner > first))
+    owner, offset, interval = owner[counted], offset[counted], interval[counted]
+    if not len(owner):
+        return np.empty((0, 2), dtype=np.int64)
+    begins = np.flatnonzero(np.diff(interval, prepend=-1) != 0)
+    first = np.repeat(np.minimum.reduceat(owner, begins), np.diff(np.append(begins, len(owner))))
+    later = np.flatnonzero(owner > first)
     return np.stack([owner[later], offset[later]], axis=1)

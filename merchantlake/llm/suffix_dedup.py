@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchantlake.llm.common import packed, partitions, store, text_of
+from merchantlake.llm.common import batches_of_bytes, partitions, store, text_of
 from merchantlake.llm.interleave import later_windows
 
 LENGTH = 100
@@ -37,7 +37,9 @@ POSITION_BITS = 22
 LAST_ID = (1 << 63) - 1
 #: Contexts of one anchor that are merged in one task, and bytes merged at once.
 MAX_CONTEXTS = 2000
-MERGE_BYTES = 1 << 18
+MERGE_BYTES = 1 << 16
+#: Text whose contexts are folded at once.
+FOLD_TEXT = 1 << 22
 SHARD_STRINGS = 64
 MIX = np.uint64(0x9E3779B97F4A7C15)
 # Two independent polynomial hashes: odd bases and random byte values.
@@ -142,21 +144,27 @@ def _anchors_of(texts: list[str | None]) -> pd.DataFrame:
     return pd.concat(found) if found else pd.DataFrame({"row": [], "h": [], "c": [], "place": []}, dtype=np.int64)
 
 
-def _fold(rows: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
-    """Sort by key and place; ``again`` marks rows whose key came before. The earliest of each key stays under it."""
-    rows = rows.sort_values([*keys, "id", "th", "place"]).drop_duplicates([*keys, "id", "th", "place"])
-    again = rows.duplicated(keys).to_numpy()
+def _fold(rows: pd.DataFrame) -> pd.DataFrame:
+    """Mark rows whose (h, c) came before; rows come in corpus order, and the earliest of each stays under its key."""
+    h, c = rows["h"].to_numpy(), rows["c"].to_numpy()
+    order = np.argsort(_mix(h.view(np.uint64) ^ _mix(c.view(np.uint64))), kind="stable")
+    h, c = h[order], c[order]
+    rows = rows.iloc[order]
+    again = np.zeros(len(rows), dtype=bool)
+    again[1:] = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
     # A repeat needs its key no more: spread over the partitions, it cannot make a common key heavy.
     spread = _mix((rows["id"].to_numpy() ^ (rows["place"].to_numpy() << 7)).view(np.uint64)).view(np.int64)
-    return rows.assign(again=again, **{keys[0]: np.where(again, spread, rows[keys[0]])})
+    return rows.assign(again=again, h=np.where(again, spread, h))[["again", "h", "c", "id", "th", "place"]]
 
 
 def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = _anchors_of(batch["text"].tolist())
-        row = found["row"].to_numpy()
-        found = found.assign(id=batch["id"].to_numpy()[row], th=batch["th"].to_numpy()[row])
-        yield _fold(found, ["h", "c"])[["again", "h", "c", "id", "th", "place"]]
+        batch = batch.drop_duplicates(["id", "th"]).sort_values(["id", "th"])
+        ids, ths, texts = batch["id"].to_numpy(), batch["th"].to_numpy(), batch["text"].tolist()
+        for begin, end in batches_of_bytes(texts, FOLD_TEXT):
+            found = _anchors_of(texts[begin:end])
+            row = found["row"].to_numpy() + begin
+            yield _fold(found.assign(id=ids[row], th=ths[row]))
 
 
 def _bounds(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,15 +174,21 @@ def _bounds(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes of each open context of a document."""
+    """The bytes of each open context of some documents."""
     for batch in batches:
-        for id_, th, text, anchors in zip(batch["id"], batch["th"], batch["text"], batch["anchors"]):
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            places = np.array([a["place"] for a in anchors], dtype=np.int64)
-            lo, hi = _bounds(places)
+        texts = batch["text"].tolist()
+        for begin, end in batches_of_bytes(texts, FOLD_TEXT):
+            rows = batch.iloc[begin:end]
+            places = rows["place"].tolist()
+            context = []
+            for text, place in zip(texts[begin:end], places):
+                raw = text.encode("utf-8", "surrogatepass")
+                lo, hi = _bounds(place)
+                context += [raw[a:b] for a, b in zip(lo.tolist(), (hi + LENGTH).tolist())]
+            times = [len(p) for p in places]
             yield pd.DataFrame({
-                "h": [a["h"] for a in anchors], "n": [a["n"] for a in anchors], "id": id_, "th": th, "place": places,
-                "context": [raw[a : b + LENGTH] for a, b in zip(lo, hi)],
+                "h": np.concatenate(rows["h"].tolist()), "n": np.concatenate(rows["n"].tolist()), "id": np.repeat(rows["id"].to_numpy(), times),
+                "th": np.repeat(rows["th"].to_numpy(), times), "place": np.concatenate(places), "context": context,
             })
 
 
@@ -189,6 +203,9 @@ def _runs(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"id": of["id"].array, "th": of["th"].array, "begin": base + at[first], "end": base + at[last] + LENGTH})
 
 
+NOTHING = {c: np.empty(0, dtype=np.int64) for c in ("id", "th", "begin", "end")}
+
+
 def _merged(group: pd.DataFrame) -> pd.DataFrame:
     """Strings of some anchors' contexts that occur in an earlier context."""
     strings = group["context"].tolist()
@@ -197,8 +214,10 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
     different = ~group["context"].duplicated().to_numpy()
     kept = np.flatnonzero(different)
     if len(kept) < 2:
-        return pd.DataFrame({"id": [], "th": [], "begin": [], "end": []}, dtype=np.int64)
+        return pd.DataFrame(NOTHING)
     later = later_windows([strings[k] for k in kept], windows[kept], np.arange(len(kept)) // SHARD_STRINGS, LENGTH)
+    if not len(later):
+        return pd.DataFrame(NOTHING)
     later = later[np.lexsort((later[:, 1], later[:, 0]))]
     return _runs(group.iloc[kept], later)
 
@@ -242,10 +261,11 @@ def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "id": rows["id"].to_numpy()[which], "th": rows["th"].to_numpy()[which], "place": lo[which] + offset,
             }))
         if parts:
-            yield _fold(pd.concat(parts), ["h", "c"])[["again", "h", "c", "id", "th", "place"]]
+            yield _fold(pd.concat(parts).sort_values(["id", "th", "place"]))
 
 
 FOLDED = "again boolean, h bigint, c bigint, id bigint, th bigint, place bigint"
+RESULTS = {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string", "kept_text": "string"}
 RANGES = "id bigint, th bigint, begin bigint, end bigint"
 
 
@@ -273,45 +293,45 @@ def removed_ranges(keyed: DataFrame) -> DataFrame:
     lo, span = F.shiftright("place", 16), F.col("place").bitwiseAND(F.lit(0xFF))
     whole = found.where("repeat").select("id", "th", lo.alias("begin"), (lo + span + LENGTH).alias("end"))
 
-    anchors = found.where("not repeat").groupBy("id", "th").agg(F.collect_list(F.struct("h", "n", "place")).alias("anchors"))
-    cut = keyed.join(anchors, ["id", "th"]).mapInPandas(
-        _cut_out, "h bigint, n bigint, id bigint, th bigint, place bigint, context binary"
-    )
-    few = cut.where(F.col("n") <= MAX_CONTEXTS).repartition(partitions(spark), "h").sortWithinPartitions("h", "id", "th", "place")
-    ranges = whole.unionByName(few.mapInPandas(_merge_contexts, RANGES))
-    largest = found.where("not repeat").agg(F.max("n")).first()[0] or 0
-    if largest > MAX_CONTEXTS:
+    def cut_out(anchors: DataFrame) -> DataFrame:
+        """Contexts as bytes. A document has no more of them than anchors."""
+        by_document = anchors.groupBy("id", "th").agg(F.collect_list(F.struct("h", "n", "place")).alias("a"))
+        by_document = by_document.select("id", "th", "a.h", "a.n", "a.place")
+        return keyed.join(by_document, ["id", "th"]).mapInPandas(
+            _cut_out, "h bigint, n bigint, id bigint, th bigint, place bigint, context binary"
+        )
+
+    few, many = (found.where(F.expr(f"not repeat and n {sign} {MAX_CONTEXTS}")) for sign in ("<=", ">"))
+    gathered = cut_out(few).repartition(partitions(spark), "h").sortWithinPartitions("h", "id", "th", "place")
+    ranges = whole.unionByName(gathered.mapInPandas(_merge_contexts, RANGES))
+    if not many.isEmpty():
         # Strings of anchors with more contexts than one task should hold meet by digest instead.
-        strings = _with_neighbour(cut.where(F.col("n") > MAX_CONTEXTS).mapInPandas(_strings, FOLDED))
+        strings = _with_neighbour(cut_out(many).mapInPandas(_strings, FOLDED))
         later = strings.where(F.col("again") | F.coalesce(F.col("before.c") == F.col("c"), F.lit(False)))
         ranges = ranges.unionByName(later.select("id", "th", F.col("place").alias("begin"), (F.col("place") + LENGTH).alias("end")))
     return ranges
 
 
-def _unite(ranges) -> list[tuple[int, int]]:
+def _unite(begins: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     """Ranges that do not touch, from ranges in any order."""
-    out: list[tuple[int, int]] = []
-    for begin, end in sorted((r["begin"], r["end"]) for r in ranges):
-        if out and begin <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((begin, end))
-    return out
+    order = np.argsort(begins, kind="stable")
+    begins, reach = begins[order], np.maximum.accumulate(ends[order])
+    new = np.flatnonzero(np.append(True, begins[1:] > reach[:-1]))
+    return list(zip(begins[new].tolist(), reach[np.append(new[1:], len(begins)) - 1].tolist()))
 
 
 def _keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for text, ranges in zip(batch["text"], batch["ranges"]):
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            spans = _unite(ranges) if ranges is not None else []
+        for text, begins, ends in zip(batch["text"], batch["begins"], batch["ends"]):
+            raw = text.encode("utf-8", "surrogatepass")
+            spans = [] if begins is None else _unite(begins, ends)
             edges = [0, *[x for span in spans for x in span], len(raw)]
             kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])) if spans else raw
-            rows.append((len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if spans else text))
-        yield pd.concat(
-            [batch.drop(columns=["id", "th", "text", "ranges"]).reset_index(drop=True), pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])],
-            axis=1,
-        )
+            whole = kept.decode("utf-8", "ignore") if spans else text
+            rows.append((len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), whole))
+        out = batch.drop(columns=["id", "th", "text", "begins", "ends"]).reset_index(drop=True)
+        yield pd.concat([out, pd.DataFrame(rows, columns=list(RESULTS))], axis=1)
 
 
 def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", others: tuple[str, ...] = ()) -> DataFrame:
@@ -323,13 +343,15 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ot
     body = text_of(F.col(f"`{text}`"))
     keyed = docs.select(id_.alias("id"), F.xxhash64(body).alias("th"), body.alias("text"))
     rows = docs.select(
-        id_.alias("id"), F.xxhash64(body).alias("th"), body.alias("text"), F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
+        id_.alias("id"), F.xxhash64(body).alias("th"), body.alias("text"), F.col(f"`{doc_id}`").cast("string").alias("doc_id"),
         *[F.col(f"`{c}`").alias(f"other_{k}") for k, c in enumerate(others)],
     )
-    ranges = removed_ranges(keyed).groupBy("id", "th").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
+    ranges = removed_ranges(keyed).groupBy("id", "th").agg(F.collect_list(F.struct("begin", "end")).alias("r"))
+    ranges = ranges.select("id", "th", F.col("r.begin").alias("begins"), F.col("r.end").alias("ends"))
     carried = [f for f in rows.schema.fields if f.name == "doc_id" or f.name.startswith("other_")]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried)
     kept = rows.join(ranges, ["id", "th"], "left").mapInPandas(
-        _keep, f"{schema}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
+        _keep, f"{schema}, {', '.join(f'{c} {kind}' for c, kind in RESULTS.items())}"
     )
+    kept = kept.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
     return kept.withColumnsRenamed({f"other_{k}": c for k, c in enumerate(others)})
