@@ -1,0 +1,41 @@
+import random
+
+import numpy as np
+import pytest
+
+from merchantlake.llm import token_scan as S
+
+
+def direct(texts):
+    encoder = S._encoder(S.VOCABULARY)
+    return [len(encoder.encode_ordinary(t or "")) for t in texts]
+
+
+def test_equals_encoding_each_text(awkward):
+    rows = [(x.doc_id, x.text) for x in awkward.select("doc_id", "text").collect()]
+    expected = sorted(zip([d for d, _ in rows], direct([t for _, t in rows])), key=repr)
+    assert sorted(map(tuple, S.token_counts(awkward).collect()), key=repr) == expected
+
+
+def test_special_tokens_in_text_are_text(spark):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id bigint, text string")
+    assert S.token_counts(docs).first().n_tokens == direct(["a <|endoftext|> b"])[0] > 3
+
+
+@pytest.mark.parametrize("block", [1, 3, 7, 1000])
+def test_documents_are_stitched_across_blocks(spark, tmp_path, block):
+    r = random.Random(block)
+    expected = []
+    for name in ("a.bin", "b.bin", "c.bin"):
+        lengths = [r.choice([0, 0, 1, 2, 9, 40]) for _ in range(r.randint(0, 12))]
+        tail = 0 if name == "b.bin" else 5
+        tokens = [t for n in lengths for t in [*[7] * n, S.END_OF_DOCUMENT]] + [8] * tail
+        np.array(tokens, dtype=S.WIDTH).tofile(tmp_path / name)
+        expected += [(name, k, n, True) for k, n in enumerate(lengths)] + [(name, len(lengths), tail, False)] * bool(tail)
+    files = spark.createDataFrame([("a.bin",), ("b.bin",), ("c.bin",), ("a.bin",)], "file string")
+    got = S.scan_token_files(str(tmp_path), files, block=block)
+    assert sorted(tuple(x) for x in got.select("file", "ordinal", "n_tokens", "ended").collect()) == sorted(expected)
+
+
+def test_no_documents(no_documents):
+    assert S.token_counts(no_documents).count() == 0
