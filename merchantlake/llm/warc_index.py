@@ -1,9 +1,8 @@
 """WARC archives with an index that is written first, and reads of selected records by byte range.
 
-Records are text, and Spark's own text writer lays them out: what ends a record in WARC is the writer's line separator. So
-archives go wherever Spark can write and take part in its commits. Every record's place follows from the lengths of the
-records before it in its file. The index (file, offset, length, url, digest, ...) is stored; a reader selects from it, sorts
-what it selected by place, joins near ranges into one read, and checks each payload against its digest.
+Archives have one gzip member per record, so a record can be read by itself. Tasks write them one record after the other
+and return where each record lies; that index (file, offset, length, url, digest, ...) is stored. A reader selects from it,
+sorts what it selected by place, joins near ranges into one read, and checks each payload against its digest.
 
 Defined results: null html is an empty payload. Of rows with equal payloads those with the smallest id are responses (all of
 them, if rows repeat that id) and the others revisit it; a null id is greater than any. Null urls are written as
@@ -13,11 +12,14 @@ them, if rows repeat that id) and the others revisit it; a null id is greater th
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
+from uuid import uuid4
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchantlake.llm.common import new_path, partitions, store
@@ -84,25 +86,41 @@ def record_text(planned: DataFrame) -> Column:
     return F.concat(head, http, F.when(revisit, F.lit("")).otherwise(F.col("html")))
 
 
-def write_archives(pages: DataFrame, files: int | None = None, **names: str) -> tuple[str, DataFrame]:
-    """A folder of archives, and the stored index: file_no, offset, length, url, payload_digest, page_id, record_type, refers_to."""
-    spark = pages.sparkSession
-    folder = new_path(spark, "archives")
+def _write(folder: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, inside = locate(f"{folder}/{uuid4().hex}.warc.gz")
+        system.create_dir(inside.rsplit("/", 1)[0], recursive=True)
+        offset = 0
+        # Not by the name's ending: members are compressed one by one here.
+        with system.open_output_stream(inside, compression=None) as out:
+            for batch in batches:
+                lengths = []
+                for record in batch["record"]:
+                    member = gzip.compress((record + END_OF_RECORD).encode("utf-8", "surrogatepass"), mtime=0)
+                    out.write(member)
+                    lengths.append(len(member))
+                ends = offset + np.cumsum(lengths)
+                yield batch.drop(columns="record").assign(file=inside.rsplit("/", 1)[1], offset=ends - lengths, length=lengths)
+                offset = int(ends[-1])
+
+    return run
+
+
+def write_archives(pages: DataFrame, **names: str) -> tuple[str, DataFrame]:
+    """A folder of archives, and the stored index: file, offset, length, url, payload_digest, page_id, record_type, refers_to.
+
+    A task that is run again writes another file. Only files that the stored index names are part of the result.
+    """
+    folder = new_path(pages.sparkSession, "archives")
     planned = plan_records(pages, **names)
-    records = planned.withColumn("record", record_text(planned))
-    records = records.withColumn("length", F.octet_length("record").cast("bigint"))
-    # The order within a file: any that a second run repeats. Rows alike in all of these are alike in their records.
-    order = ["page_id", "url", "payload_digest"]
-    files = files or partitions(spark)
-    file_no = F.pmod(F.xxhash64("page_id", "url", "payload_digest"), F.lit(files)).cast("int")
-    placed = records.select(file_no.alias("file_no"), *order, "record_type", "refers_to", "length", "record")
-    placed.repartition(files, "file_no").sortWithinPartitions("file_no", *order).select("file_no", "record").write.partitionBy(
-        "file_no"
-    ).option("lineSep", END_OF_RECORD).text(folder)
-    before = Window.partitionBy("file_no").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum(F.col("length") + len(END_OF_RECORD)).over(before), F.lit(0))
-    index = placed.drop("record").withColumn("offset", offset)
-    return folder, store(index, "archive-index")
+    key = planned.schema["page_id"].dataType
+    as_text = {c: F.col(c).cast("string") for c in ("page_id", "refers_to")}
+    records = planned.withColumn("record", record_text(planned)).withColumns(as_text)
+    places = records.select("page_id", "url", "payload_digest", "record_type", "refers_to", "record").mapInPandas(
+        _write(folder),
+        "page_id string, url string, payload_digest string, record_type string, refers_to string, file string, offset bigint, length bigint",
+    )
+    return folder, store(places.withColumns({c: F.col(c).cast(key) for c in as_text}), "archive-index")
 
 
 def _parse(record: bytes) -> dict:
@@ -124,11 +142,11 @@ def _parse(record: bytes) -> dict:
 
 def _ranges(places: pd.DataFrame) -> Iterator[pd.DataFrame]:
     """Runs of rows, sorted by place, that are read at once."""
-    path, offset, length = (places[c].tolist() for c in ("path", "offset", "length"))
+    file, offset, length = (places[c].tolist() for c in ("file", "offset", "length"))
     begin = 0
     for i in range(1, len(places) + 1):
         if i < len(places):
-            near = path[i] == path[i - 1] and offset[i] - offset[i - 1] - length[i - 1] <= GAP
+            near = file[i] == file[i - 1] and offset[i] - offset[i - 1] - length[i - 1] <= GAP
             if near and offset[i] + length[i] - offset[begin] <= READ_AT_ONCE:
                 continue
         yield places.iloc[begin:i]
@@ -138,17 +156,17 @@ def _ranges(places: pd.DataFrame) -> Iterator[pd.DataFrame]:
 FIELDS = ("record_type", "payload_digest", "payload_bytes", "url", "refers_to", "record_id")
 
 
-def _read(with_payload: bool):
+def _read(folder: str, with_payload: bool):
     columns = (*FIELDS, "payload") if with_payload else FIELDS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for part in _ranges(batch):
-                system, inside = locate(part["path"].iloc[0])
+                system, inside = locate(f"{folder}/{part['file'].iloc[0]}")
                 start, stop = int(part["offset"].iloc[0]), int((part["offset"] + part["length"]).max())
                 with system.open_input_file(inside) as source:
                     data = source.read_at(stop - start, start)
-                parsed = [_parse(data[o - start : o - start + n]) for o, n in zip(part["offset"], part["length"])]
+                parsed = [_parse(gzip.decompress(data[o - start : o - start + n])) for o, n in zip(part["offset"], part["length"])]
                 out = pd.DataFrame(parsed, columns=list(columns))
                 out.insert(0, "page_id", part["page_id"].array)
                 yield out
@@ -159,25 +177,17 @@ def _read(with_payload: bool):
 def read_records(folder: str, selected: DataFrame, with_payload: bool = False) -> DataFrame:
     """The records that ``selected`` rows of the index name, read by range: page_id and what the record itself says."""
     spark = selected.sparkSession
-    # Only names are listed here; nothing asks for the files' content.
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
-    paths = listed.select(F.regexp_extract("path", r"file_no=(\d+)/", 1).cast("int").alias("file_no"), "path")
     schema = "page_id string, record_type string, payload_digest string, payload_bytes bigint, url string, refers_to string, record_id string"
-    places = selected.select("file_no", "offset", "length", F.col("page_id").cast("string").alias("page_id")).join(paths, "file_no")
-    sorted_places = places.repartition(partitions(spark), "file_no").sortWithinPartitions("file_no", "offset")
-    read = sorted_places.select("path", "offset", "length", "page_id").mapInPandas(
-        _read(with_payload), schema + (", payload binary" if with_payload else "")
-    )
+    places = selected.select("file", "offset", "length", F.col("page_id").cast("string").alias("page_id"))
+    by_place = places.repartition(partitions(spark), "file").sortWithinPartitions("file", "offset")
+    read = by_place.mapInPandas(_read(folder, with_payload), schema + (", payload binary" if with_payload else ""))
     return read.withColumn("page_id", F.col("page_id").cast(selected.schema["page_id"].dataType))
 
 
 def archived_pages(pages: DataFrame, **names: str) -> DataFrame:
     """Write all pages, then read all records back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     folder, index = write_archives(pages, **names)
-    if index.isEmpty():
-        read = index.select("page_id", F.lit(0).cast("bigint").alias("payload_bytes"), "payload_digest", "record_type", F.lit("").alias("refers_to"))
-    else:
-        read = read_records(folder, index)
+    read = read_records(folder, index)
     id_type = index.schema["page_id"].dataType
     refers = F.regexp_extract("refers_to", "^<urn:page:(.*)>$", 1)
     return read.select(
