@@ -64,16 +64,11 @@ MIN_CITY_TRANSACTIONS = 50
 SCORE_WEIGHTS = (0.4, 0.4, 0.2)
 MAX_NULL_RATIO = 0.05
 
-# Money is added exactly, to four digits after the point, so a total does not
-# depend on the order in which tasks finish.
-MONEY_DIGITS = 4
+# Money is added exactly, to so many digits after the point, so a total does not
+# depend on the order in which tasks finish. An amount with more digits is an error.
+MONEY_DIGITS = 8
 TOTALS = T.DecimalType(38, MONEY_DIGITS)
 
-# A table is broadcast only when it was measured to be at most this large.
-BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more rows than this is ranked across tasks rather than in one.
-MAX_GROUP_ROWS = 200_000
-
 MERCHANTS = T.StructType(
     [
         T.StructField("merchant_name", T.StringType()),

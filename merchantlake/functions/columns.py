@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchantlake import contract as C
 
@@ -33,16 +34,31 @@ def city_label(city: Column) -> Column:
     return F.concat(F.lit(C.CITY_PREFIX), city.cast("string"))
 
 
-def exact_sum(amount: Column) -> Column:
-    """Order-independent sum of amounts, as a decimal.
+def exact_sum(amount: Column, digits: int = C.MONEY_DIGITS) -> Column:
+    """Order-independent sum of amounts, as a decimal with ``digits`` after the point.
 
-    Whole units and the rest are added as two integers, which costs a small part
-    of adding decimals; an amount that is no number or too large is an error.
+    Whole units and groups of digits are added as integers, which costs a small part
+    of adding decimals. An amount that is no number, too large, or has more digits
+    than are kept is an error: nothing is rounded away in silence.
     """
+    unit = 10**digits
     whole = amount.cast("bigint")
-    rest = F.rint((amount - whole) * 10.0**C.MONEY_DIGITS).cast("bigint")
-    smallest = F.lit(Decimal(1).scaleb(-C.MONEY_DIGITS))
-    return (F.sum(whole).cast(C.TOTALS) + F.sum(rest).cast("decimal(20,0)") * smallest).cast(C.TOTALS)
+    rest = F.rint((amount - whole) * float(unit)).cast("bigint")
+    # Numbers of units below 2**53 are exact as doubles; others are compared as decimals.
+    near = (whole.cast("double") * unit + rest) / F.lit(float(unit)) == amount
+    far = (whole.cast("decimal(20,0)") + rest.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast("double") == amount
+    kept = F.when(F.abs(whole) < 2**53 // unit, near).otherwise(far)
+    message = F.concat(F.lit(f"more than {digits} digits after the point: "), amount.cast("string"))
+    rest = F.when(kept | amount.isNull(), rest).otherwise(F.raise_error(message).cast("bigint"))
+    # Narrow types: a sum of wide decimals would lose digits to make room.
+    total = F.sum(whole).cast("decimal(20,0)")
+    for place in range(0, digits, 4):
+        width = min(4, digits - place)
+        lower = 10 ** (digits - place - width)
+        group = (rest / lower).cast("bigint")
+        rest = rest - group * lower
+        total = total + F.sum(group).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-place - width))
+    return total.cast(T.DecimalType(38, digits))
 
 
 def money_sum(amount: Column) -> Column:
@@ -93,9 +109,4 @@ def single_payment_profit(amount: Column) -> Column:
 
 def installments_recommended(amount: Column) -> Column:
     """Expected profit reaches the tolerated part of the ideal one; null means no."""
-    paid = amount * F.lit(C.GROSS_MARGIN) * F.lit(1.0 - C.DEFAULT_RATE)
-    defaulted = (
-        amount * F.lit(C.PAID_BEFORE_DEFAULT) * F.lit(C.GROSS_MARGIN) * F.lit(C.DEFAULT_RATE)
-    )
-    threshold = single_payment_profit(amount) * F.lit(C.PROFIT_TOLERANCE)
-    return F.coalesce(paid + defaulted >= threshold, F.lit(False))
+    return F.coalesce(financed_profit(amount) >= C.PROFIT_TOLERANCE * single_payment_profit(amount), F.lit(False))

@@ -273,19 +273,34 @@ def test_row_order_does_not_matter(spark, sf_dir, rows, plan, monkeypatch):
         ([0.1] * 10, 1.0),
         ([-0.1, -0.2, -5.75], -6.05),
         ([0.99996, 0.00004], 1.0),
+        ([0.00004] * 100, 0.004),
+        ([-0.70333091, 0.00000001, -0.00000002], -0.70333092),
         ([1e15, 0.25, -1e15], 0.25),
+        ([123456789.12345678, 0.00000001], 123456789.12345679),
         ([99.9999, None], 99.9999),
         ([None], None),
     ],
 )
-def test_money_is_added_to_four_digits(spark, amounts, total):
+def test_money_is_added_exactly(spark, amounts, total):
     from merchantlake.functions import columns as X
 
     df = spark.createDataFrame([(a,) for a in amounts], "amount double").repartition(3)
     assert df.agg(X.money_sum(F.col("amount")).alias("s")).first().s == total
 
 
-@pytest.mark.parametrize("amount", [float("nan"), float("inf"), 1e19])
+@pytest.mark.parametrize("digits", [0, 2, 4, 6, 10])
+def test_digits_are_a_parameter(spark, digits):
+    from decimal import Decimal
+
+    from merchantlake.functions import columns as X
+
+    values = [round(k * 1.37 - 90, digits) for k in range(200)]
+    expected = sum(Decimal(str(v)) for v in values)
+    got = spark.createDataFrame([(v,) for v in values], "amount double").agg(X.exact_sum(F.col("amount"), digits).alias("s")).first().s
+    assert got == expected and -got.as_tuple().exponent == digits
+
+
+@pytest.mark.parametrize("amount", [float("nan"), float("inf"), 1e19, 0.123456789, 1 / 3])
 def test_money_that_is_no_number_is_an_error(spark, amount):
     from pyspark.errors import PySparkException
 
