@@ -1,82 +1,17 @@
-"""Equi-joins against a table with one row per key."""
+"""Equi-joins of facts against a table with one row per key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
-from merchantlake import contract as C
 
-# Keys above this share of the rows count as hot; a frequent-items pass finds all of them.
-HOT_SHARE = 0.001
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df``'s values: its text, and 16 bytes for every field."""
-    text = [F.octet_length(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    fields = F.count(F.lit(1)) * F.lit(16 * len(df.columns))
-    total = sum((F.coalesce(F.sum(t), F.lit(0)) for t in text), fields)
-    return df.agg(total).first()[0]
-
-
-def is_small(size: int, broadcast_bytes: int = C.BROADCAST_BYTES) -> bool:
-    return size <= broadcast_bytes
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str,
-    *,
-    right_bytes: int,
-    broadcast_bytes: int = C.BROADCAST_BYTES,
-    row_id: list[str] | None = None,
-    keys_from: DataFrame | None = None,
-) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     """Join ``left`` to ``right`` (unique on ``key``), ``how`` being inner or left.
 
-    ``right_bytes`` is a measured bound of ``right``: small enough, it is sent to
-    every task; otherwise both sides are shuffled with hot keys spread out. Hot keys
-    are looked for in ``keys_from`` when ``left`` is costly to compute twice.
-    """
-    if is_small(right_bytes, broadcast_bytes):
-        return left.join(F.broadcast(right), key, how)
-    return _spread_join(left, right, key, how, row_id, left if keys_from is None else keys_from)
-
-
-def _spread_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, row_id: list[str] | None, keys_from: DataFrame
-) -> DataFrame:
-    """Shuffle join in which no key is bound to one task.
-
-    Rows of a hot key get a salt taken from their content (or from ``row_id``, when
-    the rows can be exact copies), which a retried task computes again alike. The
-    one matching row of ``right`` is repeated for every salt. Null keys match
-    nothing and are spread too.
+    One plan for all sizes: each side is read once and no side is measured beforehand. Spark broadcasts
+    ``right`` when its size, from statistics or from the shuffle itself, is below the session's threshold.
+    Otherwise it splits partitions in which a hot key has gathered (adaptive skew join): exact copies of a row
+    need no position or salt for that, as the split follows the files of the map tasks. Rows without a
+    key match nothing; in a left join they are one more hot key.
     """
-    spark = left.sparkSession
-    # More salts than partitions, so that salts falling together still even out.
-    salts = max(32, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # At most 1 / HOT_SHARE rows, whatever the size of the tables.
-    hot = (
-        keys_from.freqItems([key], HOT_SHARE)
-        .select(F.explode(f"{key}_freqItems").alias(key))
-        .where(F.col(key).isNotNull())
-        .distinct()
-        .withColumn("_hot", F.lit(True))
-    )
-    spread = F.pmod(F.xxhash64(*(row_id or left.columns)), F.lit(salts)).cast("int")
-    salted_left = (
-        left.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    every_salt: Column = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = (
-        right.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+    return left.join(right, key, how)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchantlake.operators.reuse import store
 
@@ -28,7 +29,11 @@ def number_rows(df: DataFrame, key: str, order: list[Column], rank: str) -> Data
     is stored before it is used twice.
     """
     columns = df.columns
-    folded = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    # Grouping would make 0.0 of -0.0; as text, numbers keep their sign and come back as they were.
+    kinds = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    as_text = df.withColumns({c: F.col(c).cast("string") for c in kinds})
+    folded = as_text.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    folded = folded.withColumns({c: F.col(c).cast(kind) for c, kind in kinds.items()})
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = store(
         folded.repartitionByRange(parts, F.col(key), *order).withColumn("_slice", F.spark_partition_id())

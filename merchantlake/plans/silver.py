@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchantlake import contract as C
 from merchantlake.functions import columns as X
-from merchantlake.operators.joins import lookup_join, measured_bytes
+from merchantlake.operators.joins import lookup_join
 from merchantlake.operators.rank import number_rows, top_n
 
 KEY = "merchant_id"
@@ -33,20 +33,15 @@ def resolve_merchants(merchants: DataFrame) -> DataFrame:
     return top_n(merchants, [KEY], resolution_order(merchants), 1).drop("_rank")
 
 
-def audit_duplicates(merchants: DataFrame, max_group_rows: int = C.MAX_GROUP_ROWS) -> DataFrame:
-    """Every row of the ids that occur more than once, ranked; rows without an id are left out."""
+def audit_duplicates(merchants: DataFrame) -> DataFrame:
+    """Every row of the ids that occur more than once, ranked; rows without an id are left out.
+
+    Rows are numbered slice by slice, so no task has to hold all rows of an id.
+    """
     with_id = merchants.where(F.col(KEY).isNotNull())
     order, rank = resolution_order(merchants), "resolution_rank"
-    per_id = with_id.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = per_id.agg(F.max("_rows")).first()[0] or 0
-    if largest <= max_group_rows:
-        by_id = Window.partitionBy(KEY)
-        counted = with_id.withColumn(rank, F.row_number().over(by_id.orderBy(*order)))
-        ranked = counted.withColumn("_rows", F.count(F.lit(1)).over(by_id)).where("_rows > 1").drop("_rows")
-    else:
-        several = per_id.where("_rows > 1").select(KEY)
-        kept = lookup_join(with_id, several, KEY, "inner", right_bytes=measured_bytes(several))
-        ranked = number_rows(kept.select(*merchants.columns), KEY, order, rank)
+    several = with_id.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    ranked = number_rows(with_id.join(several, KEY, "left_semi").select(*merchants.columns), KEY, order, rank)
     return ranked.withColumn("is_resolved_winner", F.col(rank) == 1)
 
 
@@ -58,14 +53,15 @@ def conform(transactions: DataFrame) -> DataFrame:
     )
 
 
-def enrich(transactions: DataFrame, resolved: DataFrame, *, names_bytes: int, **join_options: object) -> DataFrame:
+def enrich(transactions: DataFrame, resolved: DataFrame) -> DataFrame:
     """Transactions with ``merchant_name`` (the id when unknown) and a category that is never null.
 
-    ``names_bytes`` is a measured bound of the resolved ids and names. The other
-    options are those of :func:`lookup_join`.
+    Spark sends the names to every task when its own size check allows it. Otherwise both
+    sides are shuffled once, and partitions that a hot id or missing ids make large are split
+    at run time (:mod:`merchantlake.operators.joins`).
     """
     names = resolved.where(F.col(KEY).isNotNull()).select(KEY, F.col("merchant_name").alias("_name"))
-    joined = lookup_join(conform(transactions), names, KEY, "left", right_bytes=names_bytes, **join_options)
+    joined = lookup_join(conform(transactions), names, KEY, "left")
     columns = [c for c in joined.columns if c not in (KEY, "_name", "merchant_name")]
     category = F.coalesce("category", F.lit(C.UNKNOWN_CATEGORY)).alias("category")
     return joined.select(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from merchantlake import contract as C
 from merchantlake.functions import columns as X
-from merchantlake.operators.joins import is_small
 from merchantlake.operators.reuse import new_path, store
 from merchantlake.plans import advisor, cities, gold_checks, quality, questions, reports, silver
 from merchantlake.sources import standin, tables
@@ -27,15 +26,7 @@ def _merchants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, d: str) -> DataFrame:
-    names_bytes = standin.merchant_bytes(spark, d)
-    by_position = not is_small(names_bytes)
-    return silver.enrich(
-        standin.transactions(spark, d, position=by_position),
-        silver.resolve_merchants(_merchants(spark, d)),
-        names_bytes=names_bytes,
-        row_id=standin.POSITION if by_position else None,
-        keys_from=standin.transaction_keys(spark, d),
-    ).drop(*standin.POSITION)
+    return silver.enrich(_tx(spark, d), silver.resolve_merchants(_merchants(spark, d)))
 
 
 def _on_silver(plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -46,6 +37,11 @@ def _on_cells(plan: Callable[[DataFrame], DataFrame], *keys: str) -> Query:
     return lambda spark, d: plan(cities.count_cells(_silver(spark, d), *keys))
 
 
+def _on_stored_cells(plan: Callable[[DataFrame], DataFrame], *keys: str) -> Query:
+    """For plans that roll their cells up more than once."""
+    return lambda spark, d: plan(store(cities.count_cells(_silver(spark, d), *keys), "cells"))
+
+
 def _on_advisory(plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: plan(advisor.advisory_summary(advisor.advisory_cells(_silver(spark, d))))
 
@@ -79,7 +75,7 @@ def stored_layers_q1(spark: SparkSession, d: str) -> DataFrame:
     tables.write_table(tables.with_lineage(_merchants(spark, d), "merchants", INGESTED_AT), f"{root}/bronze/merchants")
     transactions = tables.read_table(spark, f"{root}/bronze/transactions")
     resolved = silver.resolve_merchants(tables.read_table(spark, f"{root}/bronze/merchants"))
-    enriched = silver.enrich(transactions, resolved, names_bytes=standin.merchant_bytes(spark, d))
+    enriched = silver.enrich(transactions, resolved)
     tables.write_table(enriched, f"{root}/silver/enriched_transactions")
     stored = C.assert_contract(tables.read_table(spark, f"{root}/silver/enriched_transactions"), C.SILVER, "silver")
     tables.write_table(questions.top_merchants(stored), f"{root}/gold/q1_results")
@@ -93,7 +89,8 @@ def q5_transactions_ev(spark: SparkSession, d: str) -> DataFrame:
 
 def q4_association(spark: SparkSession, d: str) -> DataFrame:
     """Rounded, as the last digit of a sum of doubles depends on the order of the cells."""
-    rows = cities.city_category_association(cities.count_cells(_silver(spark, d), "city_id", "category"))
+    cells = store(cities.count_cells(_silver(spark, d), "city_id", "category"), "cells")
+    rows = cities.city_category_association(cells)
     return rows.withColumn("city_category_cramers_v", F.round("city_category_cramers_v", 10))
 
 
@@ -138,14 +135,20 @@ def dq_profile_numeric(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dq_column_contract(spark: SparkSession, d: str) -> DataFrame:
-    dictionary = [
-        "merchant_id", "purchase_amount", "category", "purchase_date", "city_id", "state_id", "installments",
-    ]
-    return quality.column_report(_silver(spark, d), "enriched_transactions", dictionary)
+    return quality.column_report(_silver(spark, d), "enriched_transactions", quality.TRANSACTION_DICTIONARY)
+
+
+def dq_column_contract_merchants(spark: SparkSession, d: str) -> DataFrame:
+    return quality.column_report(_merchants(spark, d), "merchants", quality.MERCHANT_DICTIONARY)
 
 
 def dq_schema_drift(spark: SparkSession, d: str) -> DataFrame:
-    return quality.schema_drift(spark, f"{d}/*.parquet")
+    """Two loads of the transactions, the second without installments."""
+    root = new_path(spark, "loads")
+    tx = _tx(spark, d)
+    tx.where("state_id <= 12").write.parquet(f"{root}/load=0")
+    tx.where("state_id > 12").drop("installments").write.parquet(f"{root}/load=1")
+    return quality.schema_drift(spark, root, by="folder")
 
 
 def _rounded(query: Query, *columns: str) -> Query:
@@ -168,7 +171,7 @@ def _stored_report(source: Query, plan: Callable[[DataFrame], DataFrame]) -> Que
 
 
 _q3 = _on_silver(questions.peak_hours)
-_q4 = _on_cells(cities.city_metrics, "city_id", "merchant_id", "category")
+_q4 = _on_stored_cells(cities.city_metrics, "city_id", "merchant_id", "category")
 _q4_top = _on_cells(cities.top_merchants_global, *MERCHANT_CELL)
 _q4_distribution = _report(_q4_top, cities.top_merchants_distribution)
 _q4_popularity = _on_cells(cities.merchant_popularity, *MERCHANT_CELL)
@@ -206,6 +209,7 @@ QUERIES: dict[str, Query] = {
     "dq_profile_numeric": dq_profile_numeric,
     "dq_gold_findings": dq_gold_findings,
     "dq_column_contract": dq_column_contract,
+    "dq_column_contract_merchants": dq_column_contract_merchants,
     "dq_merchant_profile": lambda spark, d: quality.merchant_profile(_merchants(spark, d)),
     "dq_schema_drift": dq_schema_drift,
     "dq_orphan_merchants": _both(quality.orphan_summary),

@@ -10,30 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchantlake import contract as C
-from merchantlake.operators.joins import is_small, lookup_join, measured_bytes
-
-# Columns of the input tables in use. Declared, a read needs no pass over footers.
-SCHEMAS = {
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_extendedprice double",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
-    "customer": "c_custkey bigint, c_nationkey int",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_size int, p_retailprice double",
+from merchantlake.operators.joins import lookup_join
+
+# Columns of the input tables in use.
+COLUMNS = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"],
+    "customer": ["c_custkey", "c_nationkey"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"],
 }
-POSITION = ["_file", "_index"]
-_MEASURED: dict[tuple[str, str, tuple[str, ...]], int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-
-
-def table_bytes(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> int:
-    """Measured size of columns of an input table; inputs do not change within an application."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}", columns)
-    if key not in _MEASURED:
-        _MEASURED[key] = measured_bytes(table(spark, sf_dir, name).select(*columns))
-    return _MEASURED[key]
+    """Columns of an input table; one that is not there is an error."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*COLUMNS[name])
 
 
 def _merchant_id(part_key: Column) -> Column:
@@ -44,30 +34,12 @@ def _null_or_id(part_key: Column) -> Column:
     return F.when(part_key % 211 != 0, _merchant_id(part_key)).alias("merchant_id")
 
 
-def transaction_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merchant ids of :func:`transactions`, without its joins."""
-    return table(spark, sf_dir, "lineitem").select(_null_or_id(F.col("l_partkey")))
-
-
-def transactions(
-    spark: SparkSession, sf_dir: str, broadcast_bytes: int | None = None, position: bool = False
-) -> DataFrame:
-    """Raw transactions: line items with their order's date, priority and customer.
-
-    ``position`` keeps the line's file and row as ``POSITION``, for joins that spread copies.
-    """
-    limit = {"broadcast_bytes": C.BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes}
-    order_bytes = table_bytes(spark, sf_dir, "orders", *table(spark, sf_dir, "orders").columns)
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw transactions: line items with their order's date, priority and customer."""
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    placed = lookup_join(
-        table(spark, sf_dir, "orders"), customers, "o_custkey", "inner",
-        right_bytes=table_bytes(spark, sf_dir, "customer", "c_custkey", "c_nationkey"), **limit,
-    ).withColumnRenamed("o_orderkey", "l_orderkey")
-    lines, row_id = table(spark, sf_dir, "lineitem"), None
-    if position or not is_small(order_bytes, **limit):
-        place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
-        lines, row_id = lines.select("*", *[c.alias(n) for c, n in zip(place, POSITION)]), POSITION
-    joined = lookup_join(lines, placed, "l_orderkey", "inner", right_bytes=order_bytes, row_id=row_id, **limit)
+    placed = lookup_join(table(spark, sf_dir, "orders"), customers, "o_custkey", "inner")
+    lines = table(spark, sf_dir, "lineitem")
+    joined = lookup_join(lines, placed.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey", "inner")
     part, customer, line = F.col("l_partkey"), F.col("o_custkey"), F.col("l_linenumber")
     return joined.select(
         _null_or_id(part),
@@ -77,7 +49,6 @@ def transactions(
         F.when(customer % 97 != 13, F.floor(F.sqrt(customer * 3)).cast("int")).alias("city_id"),
         F.when(F.col("c_nationkey") == 0, F.lit(-1)).otherwise(F.col("c_nationkey")).alias("state_id"),
         F.when(line != 7, line - 1).alias("installments"),
-        *(POSITION if position else []),
     )
 
 
@@ -101,10 +72,3 @@ def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("p_retailprice").alias("avg_purchases_lag12"),
         )
     )
-
-
-def merchant_bytes(spark: SparkSession, sf_dir: str) -> int:
-    """Bound of (merchant_id, merchant_name): every part's key, name and brand."""
-    return table_bytes(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand") + table_bytes(
-        spark, sf_dir, "part", "p_partkey"
-    )

@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from merchantlake.operators import joins
 from merchantlake.operators.association import cramers_v
+from merchantlake.operators.joins import lookup_join
 from merchantlake.operators.rank import number_rows, top_n
 from merchantlake.operators.stored_order import order_breaks, with_file_position, with_output_position
 
@@ -25,40 +25,11 @@ def lookup(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("other_keys", [False, True])
-def test_spread_join_equals_a_plain_join(facts, lookup, rows, how, other_keys):
-    """Whatever keys are taken for hot, the rows are the same."""
-    options = {"keys_from": facts.where("v < 10")} if other_keys else {}
-    spread = joins.lookup_join(facts, lookup, "key", how, right_bytes=1, broadcast_bytes=0, **options)
-    assert spread.columns == ["key", "v", "name"]
-    assert rows(spread) == rows(facts.join(lookup, "key", how))
-
-
-def test_spread_join_leaves_no_task_with_a_hot_key(spark, facts, lookup):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        spread = joins.lookup_join(facts, lookup, "key", "left", right_bytes=1, broadcast_bytes=0)
-        sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
-        plain = [r["count"] for r in facts.join(lookup, "key", "left").groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(sizes) == sum(plain) == 9000
-    assert max(plain) >= 3000 and max(sizes) < 2000
-
-
-def test_spread_join_can_spread_exact_copies_by_position(spark, lookup, rows):
-    copies = spark.range(3000).select(F.lit("hot").alias("key"), F.lit(1).alias("v"), F.col("id").alias("at"))
-    spread = joins.lookup_join(copies, lookup, "key", "left", right_bytes=1, broadcast_bytes=0, row_id=["at"])
-    assert rows(spread.drop("at").distinct()) == [("hot", 1, "HOT")]
-    assert spread.count() == 3000
-
-
-def test_measured_bytes_bounds_the_values(spark):
-    df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n int")
-    assert joins.measured_bytes(df) == 2 * 2 * 16 + 3
-    assert joins.measured_bytes(df.limit(0)) == 0
+def test_lookup_join_keeps_or_drops_rows_without_a_match(facts, lookup, how):
+    joined = lookup_join(facts, lookup, "key", how)
+    assert joined.columns == ["key", "v", "name"]
+    assert joined.where("name is not null and name != upper(key)").isEmpty()
+    assert joined.count() == (9000 if how == "left" else joined.where("name is not null").count())
 
 
 def test_number_rows_equals_row_number(spark, rows):
@@ -72,6 +43,14 @@ def test_number_rows_equals_row_number(spark, rows):
     assert rows(number_rows(df, "k", order, "n")) == rows(df.withColumn("n", F.row_number().over(w)))
 
 
+def test_numbering_gives_rows_back_as_they_were(spark):
+    values = [-0.0, 0.0, float("nan"), None, float("inf"), 1.5, -0.0]
+    df = spark.createDataFrame([("k", v) for v in values], "k string, x double")
+    got = number_rows(df, "k", [F.col("x").asc_nulls_last()], "n")
+    assert sorted(str(r.x) for r in got.collect()) == sorted(map(str, values))
+    assert sorted(r.n for r in got.collect()) == [1, 2, 3, 4, 5, 6, 7]
+
+
 def test_top_n_limits_before_the_shuffle(spark, facts):
     plan = top_n(facts, ["key"], [F.col("v").desc()], 2)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
@@ -124,3 +103,31 @@ def test_order_breaks_across_blocks_parts_and_output(spark, monkeypatch):
     values = [r.v for r in ordered.orderBy("v").collect()]
     rising = spark.createDataFrame([(v, i // 100, i % 100) for i, v in enumerate(values)], "v double, _part int, _row int")
     assert order_breaks(rising, "v").first().breaks == 999
+
+
+def test_parts_are_ordered_by_number(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for number, value in ((99999, 2.0), (100000, 1.0)):
+        pq.write_table(pa.table({"v": [value]}), tmp_path / f"part-{number}-x.parquet")
+    out = order_breaks(with_file_position(spark.read.schema("v double").parquet(str(tmp_path))), "v").first()
+    assert (out.n_rows, out.breaks) == (2, 0)
+
+
+def test_results_are_stored_only_where_all_executors_see_them(spark, monkeypatch, tmp_path):
+    from types import SimpleNamespace
+
+    from merchantlake.operators import reuse
+
+    def session(master, named=None, set_before=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: set_before)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named), sparkContext=context)
+
+    with pytest.raises(reuse.NoSharedFolderError):
+        reuse.shared_folder(session("spark://host:7077"))
+    with pytest.raises(reuse.NoSharedFolderError):
+        reuse.shared_folder(session("local-cluster[3,2,1024]"))
+    assert reuse.shared_folder(session("yarn", named="hdfs://shared")) == "hdfs://shared"
+    assert reuse.shared_folder(session("yarn", set_before="/given")) == "/given"
+    assert reuse.store(spark.range(3)).count() == 3
