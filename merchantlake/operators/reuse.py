@@ -8,13 +8,28 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
+class NoSharedFolderError(RuntimeError):
+    """Executors and driver have no folder in common that a result could be stored in."""
+
+
+def use_work_folder(spark: SparkSession, path: str) -> None:
+    """Store results below ``path`` unless the cluster names a folder."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``, or the one set for this application.
 
-    Only a session that names none (a local test) gets a temporary one.
+    Only a local session, whose tasks all run on this machine, may do without and gets a temporary one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or tempfile.mkdtemp(prefix="merchantlake-")
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise NoSharedFolderError("set spark.checkpoint.dir to a folder that all executors share")
+    use_work_folder(spark, tempfile.mkdtemp(prefix="merchantlake-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:

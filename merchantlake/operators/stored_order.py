@@ -9,8 +9,10 @@ BLOCK_ROWS = 65_536
 
 
 def with_file_position(stored: DataFrame) -> DataFrame:
-    """Position of a row of a Parquet table: its file and its index in the file."""
-    return stored.withColumns({"_part": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    """Position of a row of a Parquet table: its file, by the number in its name, and its index in the file."""
+    path = F.col("_metadata.file_path")
+    number = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).try_cast("bigint")
+    return stored.withColumns({"_part": F.struct(number.alias("number"), path.alias("path")), "_row": F.col("_metadata.row_index")})
 
 
 def with_output_position(df: DataFrame) -> DataFrame:

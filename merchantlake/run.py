@@ -1,4 +1,4 @@
-"""Run the layers: ``python -m merchantlake.run bronze|silver|gold|all|validate|duplicates``."""
+"""Run the layers: ``python -m merchantlake.run bronze|silver|gold|all|validate|duplicates|dictionary|report``."""
 
 from __future__ import annotations
 
@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchantlake import contract as C
-from merchantlake.operators.joins import is_small, measured_bytes
-from merchantlake.operators.reuse import store
-from merchantlake.plans import advisor, cities, gold_checks, quality, questions, silver
+from merchantlake.operators.reuse import store, use_work_folder
+from merchantlake.plans import advisor, cities, gold_checks, quality, questions, reports, silver
 from merchantlake.sources import paths, tables
 
 
@@ -27,11 +26,14 @@ class Settings:
     data_root: str = "./data"
     raw_transactions: str | None = None
     raw_merchants: str | None = None
+    fmt: str = "parquet"
 
     @classmethod
     def from_environment(cls) -> Settings:
+        """``TABLE_FORMAT`` is any format that Spark can write and read."""
         env = os.environ
-        return cls(env.get("DATA_ROOT", "./data"), env.get("RAW_TRANSACTIONS_PATH"), env.get("RAW_MERCHANTS_PATH"))
+        raw = env.get("RAW_TRANSACTIONS_PATH"), env.get("RAW_MERCHANTS_PATH")
+        return cls(env.get("DATA_ROOT", "./data"), *raw, env.get("TABLE_FORMAT", "parquet"))
 
     def at(self, *parts: str) -> str:
         return "/".join([self.data_root.rstrip("/"), *parts])
@@ -58,24 +60,19 @@ def run_bronze(spark: SparkSession, settings: Settings) -> None:
         raise FileNotFoundError(f"no merchants at {settings.merchants}")
     transactions = tables.read_transactions(spark, source)
     merchants = tables.read_merchants(spark, settings.merchants)
-    tables.write_table(tables.with_lineage(transactions, source), settings.at("bronze", "transactions"))
-    tables.write_table(tables.with_lineage(merchants, settings.merchants), settings.at("bronze", "merchants"))
+    tables.write_table(tables.with_lineage(transactions, source, by_file=True), settings.at("bronze", "transactions"), fmt=settings.fmt)
+    tables.write_table(tables.with_lineage(merchants, settings.merchants), settings.at("bronze", "merchants"), fmt=settings.fmt)
 
 
 def run_silver(spark: SparkSession, settings: Settings, partition_by_month: bool = False) -> None:
     """One merchant per id, the audit of repeated ids, and the enriched transactions."""
-    merchants = tables.read_table(spark, settings.at("bronze", "merchants"))
+    merchants = tables.read_table(spark, settings.at("bronze", "merchants"), settings.fmt)
     resolved_path = settings.at("silver", "merchants_resolved")
-    tables.write_table(silver.resolve_merchants(merchants), resolved_path)
-    tables.write_table(silver.audit_duplicates(merchants), settings.at("silver", "merchants_duplicates_audit"))
-
-    resolved = tables.read_table(spark, resolved_path)
-    names_bytes = measured_bytes(resolved.select("merchant_id", "merchant_name"))
-    transactions, row_id = tables.read_table(spark, settings.at("bronze", "transactions")), None
-    if not is_small(names_bytes):
-        place = {"_file": F.col("_metadata.file_path"), "_index": F.col("_metadata.row_index")}
-        transactions, row_id = transactions.withColumns(place), list(place)
-    enriched = silver.enrich(transactions, resolved, names_bytes=names_bytes, row_id=row_id).drop(*(row_id or []))
+    tables.write_table(silver.resolve_merchants(merchants), resolved_path, fmt=settings.fmt)
+    tables.write_table(silver.audit_duplicates(merchants), settings.at("silver", "merchants_duplicates_audit"), fmt=settings.fmt)
+
+    transactions = tables.read_table(spark, settings.at("bronze", "transactions"), settings.fmt)
+    enriched = silver.enrich(transactions, tables.read_table(spark, resolved_path, settings.fmt))
     C.assert_contract(enriched, C.SILVER, "enriched_transactions")
     if partition_by_month:
         year, month = MONTH_FOLDERS
@@ -83,6 +80,7 @@ def run_silver(spark: SparkSession, settings: Settings, partition_by_month: bool
     tables.write_table(
         enriched,
         settings.at("silver", "enriched_transactions"),
+        fmt=settings.fmt,
         partition_by=MONTH_FOLDERS if partition_by_month else (),
     )
 
@@ -92,33 +90,34 @@ def _gold(settings: Settings, key: str) -> str:
 
 
 def _gold_q1(spark: SparkSession, source: DataFrame, settings: Settings) -> None:
-    tables.write_table(questions.top_merchants(source), _gold(settings, "q1"))
+    tables.write_table(questions.top_merchants(source), _gold(settings, "q1"), fmt=settings.fmt)
 
 
 def _gold_q2(spark: SparkSession, source: DataFrame, settings: Settings) -> None:
-    tables.write_table(questions.average_by_state(source), _gold(settings, "q2"))
+    tables.write_table(questions.average_by_state(source), _gold(settings, "q2"), fmt=settings.fmt)
 
 
 def _gold_q3(spark: SparkSession, source: DataFrame, settings: Settings) -> None:
-    tables.write_table(questions.peak_hours(source), _gold(settings, "q3"), small=True)
+    tables.write_table(questions.peak_hours(source), _gold(settings, "q3"), small=True, fmt=settings.fmt)
 
 
 def _gold_q4(spark: SparkSession, source: DataFrame, settings: Settings) -> None:
     """Five tables from one scan: the cells are stored before they are rolled up."""
     cells = store(cities.count_cells(source))
-    tables.write_table(cities.city_metrics(cells), _gold(settings, "q4"))
-    tables.write_table(cities.city_category_association(cells), _gold(settings, "q4_association"), small=True)
-    tables.write_table(cities.top_merchants_global(cells), _gold(settings, "q4_top_merchants"), small=True)
-    top = tables.read_table(spark, _gold(settings, "q4_top_merchants"))
-    tables.write_table(cities.top_merchants_distribution(top), _gold(settings, "q4_distribution"), small=True)
-    tables.write_table(cities.merchant_popularity(cells), _gold(settings, "q4_popularity"))
+    tables.write_table(cities.city_metrics(cells), _gold(settings, "q4"), fmt=settings.fmt)
+    tables.write_table(cities.city_category_association(cells), _gold(settings, "q4_association"), small=True, fmt=settings.fmt)
+    tables.write_table(cities.top_merchants_global(cells), _gold(settings, "q4_top_merchants"), small=True, fmt=settings.fmt)
+    top = tables.read_table(spark, _gold(settings, "q4_top_merchants"), settings.fmt)
+    tables.write_table(cities.top_merchants_distribution(top), _gold(settings, "q4_distribution"), small=True, fmt=settings.fmt)
+    tables.write_table(cities.merchant_popularity(cells), _gold(settings, "q4_popularity"), fmt=settings.fmt)
 
 
 def _gold_q5(spark: SparkSession, source: DataFrame, settings: Settings) -> None:
     """One row per transaction, and the summary."""
-    tables.write_table(advisor.expected_values(source), _gold(settings, "q5"))
-    summary = advisor.advisory_summary(advisor.advisory_cells(source))
-    tables.write_table(summary, _gold(settings, "q5_advisory"), small=True)
+    tables.write_table(advisor.expected_values(source), _gold(settings, "q5"), fmt=settings.fmt)
+    # Sections are computed side by side; only their rows meet in one file.
+    summary = advisor.advisory_summary(advisor.advisory_cells(source)).repartition(1)
+    tables.write_table(summary, _gold(settings, "q5_advisory"), small=True, fmt=settings.fmt)
 
 
 GOLD: dict[str, Callable[[SparkSession, DataFrame, Settings], None]] = {
@@ -133,7 +132,7 @@ GOLD: dict[str, Callable[[SparkSession, DataFrame, Settings], None]] = {
 def run_gold(spark: SparkSession, settings: Settings, question: str) -> None:
     if question not in GOLD:
         raise ValueError(f"unknown question {question!r}; there are {sorted(GOLD)}")
-    source = tables.read_table(spark, settings.at("silver", "enriched_transactions"))
+    source = tables.read_table(spark, settings.at("silver", "enriched_transactions"), settings.fmt)
     C.assert_contract(source, C.SILVER, "enriched_transactions")
     GOLD[question](spark, source, settings)
 
@@ -148,7 +147,7 @@ def run_all(spark: SparkSession, settings: Settings) -> None:
 def run_validate(spark: SparkSession, settings: Settings) -> DataFrame:
     """Findings about Gold, stored as JSON beside it."""
     target = settings.at("gold", "qa", "findings")
-    tables.write_report(gold_checks.check_gold_path(spark, settings.at("gold")).coalesce(1), target, "json")
+    tables.write_report(gold_checks.check_gold_path(spark, settings.at("gold"), settings.fmt).coalesce(1), target, "json")
     return spark.read.schema("question string, code string, ok boolean, severity string, message string").json(target)
 
 
@@ -170,14 +169,55 @@ def run_duplicates(spark: SparkSession, settings: Settings) -> None:
     tables.write_report(quality.duplicate_impact(transactions, merchants), f"{out}/transactions_impact", "json")
 
 
+REPORT_SOURCES = {"rep_q1": "q1", "rep_q2": "q2", "rep_q3": "q3", "rep_q4_top_cities": "q4", "rep_q4_city_kpis": "q4", "rep_q4_global": "q4_top_merchants",
+                  "rep_q4_distribution": "q4_distribution", "rep_q4_local": "q4_popularity"}
+
+
+def run_dictionary(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The dictionary check of both stored raw tables, with the profile of merchants, orphan ids, and nulls and numbers
+    of the transactions; every report is stored beside Gold. Returns the columns of both tables."""
+    transactions = tables.read_table(spark, settings.at("bronze", "transactions"), settings.fmt)
+    merchants = tables.read_table(spark, settings.at("bronze", "merchants"), settings.fmt)
+    out = settings.at("gold", "qa")
+    columns = quality.column_report(transactions, "transactions", quality.TRANSACTION_DICTIONARY).unionByName(
+        quality.column_report(merchants, "merchants", quality.MERCHANT_DICTIONARY)
+    )
+    numbers = [c for c in ("amount", "purchase_amount", "installments") if c in transactions.columns]
+    reports = {
+        "dictionary_columns": columns,
+        "merchant_profile": quality.merchant_profile(merchants),
+        "orphan_merchants": quality.orphan_summary(transactions, merchants),
+        "transaction_nulls": quality.null_ratios(transactions),
+        "transaction_numbers": quality.profile_numeric(transactions, numbers),
+    }
+    for name, report in reports.items():
+        tables.write_report(report, f"{out}/{name}", "json")
+    return columns
+
+
+def run_report(spark: SparkSession, settings: Settings, name: str, **choices: object) -> DataFrame:
+    """A report on stored Gold. ``choices`` are parameters of the report, such as month, months, city or state."""
+    plan = getattr(reports, name.removeprefix("rep_"), None)
+    source = next((key for prefix, key in REPORT_SOURCES.items() if name.startswith(prefix)), "q5_advisory")
+    if plan is None or name == "rep_pareto_cut":
+        raise ValueError(f"no report {name!r} on a Gold table")
+    gold = tables.read_table(spark, _gold(settings, source), settings.fmt)
+    return plan(gold, **{k: v for k, v in choices.items() if v is not None})
+
+
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("step", choices=["bronze", "silver", "gold", "all", "validate", "duplicates"])
+    parser.add_argument("step", choices=["bronze", "silver", "gold", "all", "validate", "duplicates", "dictionary", "report"])
     parser.add_argument("--question", choices=sorted(GOLD), help="one Gold question instead of all")
     parser.add_argument("--strict", action="store_true", help="validate: exit 1 on a failed check of severity error")
     parser.add_argument("--partition-by-month", action="store_true", help="silver: one folder per month")
+    parser.add_argument("--name", help="report: its name, such as rep_q1_months")
+    parser.add_argument("--month", action="append", help="report: a month; may be given several times")
+    parser.add_argument("--city", help="report: a city")
+    parser.add_argument("--state", type=int, help="report: a state")
     args = parser.parse_args(arguments)
     spark, settings = session("merchantlake"), Settings.from_environment()
+    use_work_folder(spark, settings.at("_work"))
     if args.step == "bronze":
         run_bronze(spark, settings)
     elif args.step == "silver":
@@ -189,6 +229,11 @@ def main(arguments: list[str] | None = None) -> int:
         run_all(spark, settings)
     elif args.step == "duplicates":
         run_duplicates(spark, settings)
+    elif args.step == "dictionary":
+        run_dictionary(spark, settings).show(200, truncate=False)
+    elif args.step == "report":
+        months = {"months": args.month} if args.name == "rep_q1_months" else {"month": args.month and args.month[0]}
+        run_report(spark, settings, args.name or "", **months, city=args.city, state=args.state).show(200, truncate=False)
     else:
         findings = run_validate(spark, settings)
         findings.orderBy("question", "code").show(200, truncate=False)

@@ -36,6 +36,9 @@ def resolve_transactions(spark: SparkSession, data_root: str, path: str | None =
 
 
 def discover_transactions(spark: SparkSession, data_root: str) -> list[str]:
-    """Every location that holds transactions, each once (the checks read all of them)."""
-    candidates = [_join(data_root, p) for p in (f"{FOLDER}/*.parquet", SINGLE_FILE, LOOSE_PARTS)]
-    return [p for p in dict.fromkeys(candidates) if path_exists(spark, p)]
+    """Every location that holds transactions, each once (the checks read all of them).
+
+    The folder is one location, as for :func:`resolve_transactions`, whether its files lie in it or in sub-folders.
+    """
+    candidates = [_join(data_root, p) for p in (FOLDER, SINGLE_FILE, LOOSE_PARTS)]
+    return [p for p in candidates if path_exists(spark, p)]

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,28 +18,37 @@ class StorageError(RuntimeError):
 
 
 def read_transactions(spark: SparkSession, *paths: str) -> DataFrame:
-    """Parquet folder, file or glob; several are read as one table."""
-    return spark.read.parquet(*paths)
+    """Parquet folder, file or glob; several are read as one table by column names. Sub-folders may name a partition."""
+    frames = [spark.read.parquet(p) for p in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_merchants(spark: SparkSession, path: str, schema: T.StructType | None = C.MERCHANTS) -> DataFrame:
     """CSV with a header. Columns are matched by name and typed by ``schema``.
 
-    Declared types make ``inf`` a number and spare the extra pass of inference.
-    Columns the schema does not know are kept as text. ``schema=None`` infers.
+    Declared types make ``inf`` a number. A column with a value that its type cannot hold is
+    widened, from whole numbers to doubles or else to text: one pass counts misfits, and no
+    value is lost. Columns the schema does not know are kept as text. ``schema=None`` infers.
     """
     csv = spark.read.option("header", True).option("positiveInf", "inf").option("negativeInf", "-inf")
     if schema is None:
         return csv.option("inferSchema", True).csv(path)
-    known = {f.name: f for f in schema.fields}
-    header = csv.csv(path).columns
-    declared = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
-    return csv.option("enforceSchema", False).schema(declared).csv(path)
+    text = csv.csv(path)
+    declared = {f.name: f.dataType for f in schema.fields if f.name in text.columns and f.dataType != T.StringType()}
+    if not declared:
+        return text
 
+    def misfits(column: str, kind: T.DataType | str) -> Column:
+        return F.count_if(F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull())
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
+    counts = text.agg(*[F.struct(misfits(c, k).alias("declared"), misfits(c, "double").alias("double")).alias(c) for c, k in declared.items()]).first()
+    kinds = {c: k if not counts[c].declared else T.DoubleType() if not counts[c].double else T.StringType() for c, k in declared.items()}
+    return text.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     try:
-        return spark.read.parquet(path)
+        return spark.read.format(fmt).load(path)
     except AnalysisException as failure:
         raise StorageError(f"cannot read the table at {path}") from failure
 
@@ -59,7 +69,8 @@ def write_report(df: DataFrame, path: str, fmt: str) -> None:
     writer.save(path)
 
 
-def with_lineage(df: DataFrame, source: str, ingested_at: str | None = None) -> DataFrame:
-    """When (ISO-8601, UTC, fixed once per run) and from where the rows came."""
+def with_lineage(df: DataFrame, source: str, ingested_at: str | None = None, by_file: bool = False) -> DataFrame:
+    """When (ISO-8601, UTC, fixed once per run) and from where the rows came: ``source``, or the file of each row."""
     stamp = ingested_at or datetime.now(timezone.utc).isoformat()
-    return df.withColumns({"_ingested_at": F.lit(stamp), "_bronze_source": F.lit(source)})
+    origin = F.col("_metadata.file_path") if by_file else F.lit(source)
+    return df.withColumns({"_ingested_at": F.lit(stamp), "_bronze_source": origin})
