@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,18 +14,15 @@ def cramers_v(cells: DataFrame, row: str, column: str, n: str, min_row_total: in
     Chi-square needs only the non-empty cells: phi2 = sum(o^2 / (r * c)) - 1, so the
     dense matrix is never built. V is NaN when either side has fewer than two values.
     """
-    row_total = F.sum(n).over(Window.partitionBy(row))
-    column_total = F.sum(n).over(Window.partitionBy(column))
-    totals = (
-        cells.withColumn("_row_total", row_total)
-        .where(F.col("_row_total") >= min_row_total)
-        .withColumn("_column_total", column_total)
-    )
+    row_totals = cells.groupBy(F.col(row).alias("_row")).agg(F.sum(n).alias("_row_total")).where(F.col("_row_total") >= min_row_total)
+    kept = cells.join(row_totals, F.col(row).eqNullSafe(F.col("_row")))
+    column_totals = kept.groupBy(F.col(column).alias("_column")).agg(F.sum(n).alias("_column_total"))
+    totals = kept.join(column_totals, F.col(column).eqNullSafe(F.col("_column")))
     share = (F.col(n) / F.col("_row_total")) * (F.col(n) / F.col("_column_total"))
-    stats = totals.agg(
-        (F.sum(share) - 1).alias("_phi2"),
-        F.count_distinct(row).alias("n_rows"),
-        F.count_distinct(column).alias("n_columns"),
+    stats = totals.agg((F.sum(share) - 1).alias("_phi2")).select(
+        "_phi2",
+        row_totals.agg(F.count("_row")).scalar().alias("n_rows"),
+        column_totals.agg(F.count("_column")).scalar().alias("n_columns"),
     )
     return stats.select(_v().alias("v"), "n_rows", "n_columns")
 

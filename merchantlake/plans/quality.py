@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchantlake import contract as C
 from merchantlake.functions import columns as X
-from merchantlake.operators.joins import lookup_join, measured_bytes
+from merchantlake.operators.joins import lookup_join
 from merchantlake.operators.reuse import store
 
 KEY = "merchant_id"
+# The columns that the two raw tables are documented to have.
+TRANSACTION_DICTIONARY = ["merchant_id", "purchase_amount", "category", "purchase_date", "city_id", "state_id", "installments"]
+MERCHANT_DICTIONARY = C.MERCHANTS.names
 
 
 class DataQualityError(ValueError):
@@ -103,33 +102,17 @@ def merchant_profile(merchants: DataFrame) -> DataFrame:
     return _rows_of(stats, [(m, F.coalesce(v, F.lit(0))) for m, v in rows], ["metric", "value"])
 
 
-def schema_drift(spark: SparkSession, *paths: str) -> DataFrame:
-    """Per Parquet file: rows, columns, and whether the columns differ from the first file's.
+def schema_drift(spark: SparkSession, path: str, by: str = "file") -> DataFrame:
+    """Per file (or ``by`` folder) of one table: rows, columns with a value, and whether these differ from the first's.
 
-    Tasks read the footers only, so the cost is per file and not per row.
+    Files are read with their schemas merged, so a column that a file does not have is null in all of its rows there.
     """
-
-    # Nested, so that it travels to executors that do not have this package.
-    def read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        for batch in batches:
-            for path in batch["path"]:
-                system, inner = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-                footer = pq.ParquetFile(inner, filesystem=system)
-                names = sorted(footer.schema_arrow.names)
-                yield pd.DataFrame({"path": [path], "columns": [names], "n_rows": [footer.metadata.num_rows]})
-
-    files = spark.read.format("binaryFile").load(list(paths)).select("path")
-    footers = files.mapInPandas(read_footers, "path string, columns array<string>, n_rows long")
-    first = footers.agg(F.min_by("columns", "path").alias("columns")).scalar()
-    return footers.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        "n_rows",
-        F.size("columns").alias("n_columns"),
-        (F.col("columns") != first).alias("differs"),
-    )
+    merged = spark.read.options(mergeSchema=True, recursiveFileLookup=True).parquet(path)
+    place = F.element_at(F.split("_metadata.file_path", "/"), {"file": -1, "folder": -2}[by])
+    present = F.array_compact(F.array(*[F.when(F.count(c) > 0, F.lit(c)) for c in sorted(merged.columns)]))
+    parts = merged.groupBy(place.alias("part")).agg(F.count(F.lit(1)).alias("n_rows"), present.alias("columns"))
+    first = parts.agg(F.min_by("columns", "part")).scalar()
+    return parts.select("part", "n_rows", F.size("columns").alias("n_columns"), (F.col("columns") != first).alias("differs"))
 
 
 def orphan_merchants(transactions: DataFrame, merchants: DataFrame) -> DataFrame:
@@ -230,8 +213,7 @@ def _repeated_ids(merchants: DataFrame) -> DataFrame:
 def duplicate_rows(merchants: DataFrame) -> DataFrame:
     """The rows of all ids that occur more than once."""
     ids = _repeated_ids(merchants).select(KEY)
-    kept = lookup_join(merchants, ids, KEY, "inner", right_bytes=measured_bytes(ids))
-    return kept.select(*merchants.columns)
+    return lookup_join(merchants, ids, KEY, "inner").select(*merchants.columns)
 
 
 def duplicate_impact(transactions: DataFrame, merchants: DataFrame) -> DataFrame:

@@ -50,17 +50,17 @@ def q1_kpis(q1: DataFrame) -> DataFrame:
 
 
 def q1_months(q1: DataFrame, months: list[str] | None = None, preset: int = 3) -> DataFrame:
-    """Rows of the chosen months, or of the first few."""
-    if months:
-        return q1.where(F.col("Month").isin(months))
+    """Rows of the chosen months; of the first few when nothing was chosen yet, of all when the choice is empty."""
+    if months is not None:
+        return q1.where(F.col("Month").isin(months)) if months else q1
     return q1.join(F.broadcast(choices(q1, "Month").limit(preset)), "Month", "left_semi")
 
 
 def q1_focus(q1: DataFrame, month: str | None = None, city: str | None = None, k: int = 5) -> DataFrame:
     """The leading merchants of one month and city."""
-    wanted_month = first_choice(q1, "Month", 4) if month is None else F.lit(month)
-    wanted_city = first_choice(q1, "City") if city is None else F.lit(city)
-    rows = q1.where((F.col("Month") == wanted_month) & (F.col("City") == wanted_city))
+    rows = _chosen(q1, "City", city)
+    # Of the city's own months, so that a choice left open shows something.
+    rows = _chosen(rows, "Month", month, 4)
     return rows.orderBy(F.col("Purchase Total").desc(), F.col("Merchant").asc()).limit(k)
 
 
@@ -245,8 +245,8 @@ def q5_city_focus(advisory: DataFrame, city: str | None = None) -> DataFrame:
 
 
 def q5_transaction_sample(q5: DataFrame, n: int = 500) -> DataFrame:
-    """Some transactions, for a look at them."""
-    return q5.limit(n)
+    """Some transactions, for a look at them: those of the largest amounts, in a fixed order."""
+    return q5.orderBy(F.desc_nulls_last("amount"), *[F.asc(c) for c in ("merchant_name", "category", "city_id", "installments")]).limit(n)
 
 
 def month_over_month(advisory: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ SELECT tx.merchant_id, purchase_amount AS amount, coalesce(category, 'Unknown ca
        coalesce(r.merchant_name, tx.merchant_id) AS merchant_name
 FROM tx LEFT JOIN ranked r ON tx.merchant_id = r.merchant_id AND r.resolution_rank = 1"""
 
-_MONEY = "CAST(sum(CAST(amount AS DECIMAL(18,4))) AS DOUBLE)"
+_MONEY = "CAST(sum(CAST(amount AS DECIMAL(38,10))) AS DOUBLE)"
 
 _Q1 = f"""
 SELECT "Month", "City", "Merchant", "Purchase Total", "No of sales" FROM (
@@ -159,7 +159,7 @@ _FINANCING = (
 def _section(name: str, part: str, flag: str, where: str = "true") -> str:
     return f"""
 SELECT '{name}' AS section, {part} AS part, {flag} AS flag, count(*) AS n,
-       sum(CAST(amount AS DECIMAL(18,4))) AS total
+       sum(CAST(amount AS DECIMAL(38,10))) AS total
 FROM silver WHERE {where} GROUP BY 2, 3"""
 
 
@@ -346,6 +346,27 @@ def _column_contract() -> str:
     return _sql("\nUNION ALL ".join(rows), "silver")
 
 
+def _merchant_contract() -> str:
+    present = [
+        "merchant_id", "merchant_name", "most_recent_sales_range", "most_recent_purchases_range",
+        "active_months_lag12", "active_months_lag6", "active_months_lag3", "avg_purchases_lag12",
+    ]
+    absent = [
+        "merchant_group_id", "merchant_category_id", "subsector_id", "numerical_1", "numerical_2", "avg_sales_lag3",
+        "avg_purchases_lag3", "avg_sales_lag6", "avg_purchases_lag6", "avg_sales_lag12", "city_id", "state_id",
+    ]
+    rows = [
+        f"""SELECT 'merchants' AS table_name, '{c}' AS column_name, 'ok' AS status, 'info' AS severity,
+  CAST(NULL AS VARCHAR) AS known_as, count(*) AS n_rows, count(*) - count({c}) AS n_nulls FROM merchants"""
+        for c in present
+    ]
+    rows += [
+        f"SELECT 'merchants', '{c}', 'missing', 'warn', CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"
+        for c in absent
+    ]
+    return _sql("\nUNION ALL ".join(rows), "merchants")
+
+
 def _merchant_profile() -> str:
     columns = [
         "merchant_id", "merchant_name", "most_recent_sales_range", "most_recent_purchases_range",
@@ -359,20 +380,10 @@ def _merchant_profile() -> str:
     return _sql("\nUNION ALL ".join(rows), "merchants", "per_id")
 
 
-def _schema_drift() -> str:
-    names = [
-        "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels",
-        "lineitem", "nation", "orders", "pages", "part", "region", "supplier",
-    ]
-
-    def columns(t: str) -> str:
-        return f"(SELECT list_sort(list(column_name)) FROM (DESCRIBE {t}))"
-
-    return "\nUNION ALL ".join(
-        f"""SELECT '{t}.parquet' AS file_name, (SELECT count(*) FROM {t}) AS n_rows,
-  CAST(len({columns(t)}) AS INTEGER) AS n_columns, {columns(t)} <> {columns("benchmark")} AS differs"""
-        for t in names
-    )
+_SCHEMA_DRIFT = """
+SELECT 'load=0' AS part, count(*) AS n_rows, CAST(7 AS INTEGER) AS n_columns, false AS differs FROM tx WHERE state_id <= 12
+UNION ALL
+SELECT 'load=1', count(*), CAST(6 AS INTEGER), true FROM tx WHERE state_id > 12"""
 
 
 def _gold_findings() -> str:
@@ -416,7 +427,7 @@ FROM (SELECT {values})"""
                AS negative""",
             "negative = 0", "'groups with a negative total: ' || negative",
         ),
-        *rows("Q2", "q2", "q2", "Merchant, State ID, Average Amount", "q2_schema"),
+        *rows("Q2", "q2", "q2", "Merchant, State ID, Average Amount", "q2_schema_pdf"),
         rule(
             "Q2", "q2_order_desc", "warn",
             """(SELECT count(*) FROM (SELECT "Average Amount" AS v, lag("Average Amount") OVER (
@@ -505,10 +516,11 @@ FROM (SELECT {values})"""
     )
 
 
-_TOTAL = 'CAST(sum(CAST("Purchase Total" AS DECIMAL(38,4))) AS DOUBLE)'
+_TOTAL = 'CAST(sum(CAST("Purchase Total" AS DECIMAL(38,10))) AS DOUBLE)'
 _FIRST_CITY = '(SELECT min("City") FROM q1)'
 _FOURTH_MONTH = (
-    '(SELECT max("Month") FROM (SELECT DISTINCT "Month" FROM q1 WHERE "Month" IS NOT NULL ORDER BY 1 LIMIT 4))'
+    f'(SELECT max("Month") FROM (SELECT DISTINCT "Month" FROM q1 WHERE "City" = {_FIRST_CITY} AND "Month" IS NOT NULL '
+    'ORDER BY 1 LIMIT 4))'
 )
 
 
@@ -565,8 +577,9 @@ ORACLE: dict[str, str] = {
     "dq_profile_numeric": _profile(),
     "dq_gold_findings": _gold_findings(),
     "dq_column_contract": _column_contract(),
+    "dq_column_contract_merchants": _merchant_contract(),
     "dq_merchant_profile": _merchant_profile(),
-    "dq_schema_drift": _schema_drift(),
+    "dq_schema_drift": _sql(_SCHEMA_DRIFT, "tx"),
     "dq_orphan_merchants": _sql(
         "SELECT count(*) AS n_orphans, (SELECT coalesce(string_agg(merchant_id, '|' ORDER BY merchant_id), '') "
         "FROM (SELECT * FROM orphans ORDER BY merchant_id LIMIT 15)) AS sample FROM orphans",
@@ -600,8 +613,8 @@ SELECT n AS tx_rows_total, hit AS tx_rows_with_duplicate_merchant_id,
        CAST(total_hit AS DOUBLE) / CAST(total AS DOUBLE) AS tx_amount_impact_ratio,
        joined AS possible_join_multiplication_rows
 FROM (SELECT count(*) AS n, count(*) FILTER (g.merchant_id IS NOT NULL) AS hit,
-             sum(CAST(purchase_amount AS DECIMAL(18,4))) AS total,
-             sum(CAST(purchase_amount AS DECIMAL(18,4))) FILTER (g.merchant_id IS NOT NULL) AS total_hit,
+             sum(CAST(purchase_amount AS DECIMAL(38,10))) AS total,
+             sum(CAST(purchase_amount AS DECIMAL(38,10))) FILTER (g.merchant_id IS NOT NULL) AS total_hit,
              CAST(sum(g.rows_for_id) AS BIGINT) AS joined
       FROM tx LEFT JOIN groups g ON tx.merchant_id = g.merchant_id)""",
         "tx", "groups",
@@ -693,10 +706,10 @@ FROM (SELECT * FROM advisory WHERE section = 'q5a_cities' ORDER BY total_amount
         """
 SELECT detail_key, detail_label, transaction_count, total_amount, avg_ticket,
        CAST(running AS DOUBLE) / CAST(whole AS DOUBLE) AS cum_share_revenue
-FROM (SELECT *, sum(CAST(total_amount AS DECIMAL(38,4))) OVER (
+FROM (SELECT *, sum(CAST(total_amount AS DECIMAL(38,10))) OVER (
                   ORDER BY total_amount DESC, CAST(detail_key AS INTEGER)
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running,
-             sum(CAST(total_amount AS DECIMAL(38,4))) OVER () AS whole
+             sum(CAST(total_amount AS DECIMAL(38,10))) OVER () AS whole
       FROM advisory WHERE section = 'q5a_cities')
 ORDER BY total_amount DESC, CAST(detail_key AS INTEGER) LIMIT 10""",
         "advisory",
@@ -741,7 +754,7 @@ SELECT CAST(sum(total) FILTER (place <= 5) AS DOUBLE) / CAST(max(whole) AS DOUBL
        CAST(sum(total) FILTER (place <= 10) AS DOUBLE) / CAST(max(whole) AS DOUBLE) AS top_10_share,
        count(*) FILTER (CAST(upto - total AS DOUBLE) / CAST(whole AS DOUBLE) < 0.8e0) AS cities_for_share
 FROM (SELECT total, row_number() OVER o AS place, sum(total) OVER o AS upto, sum(total) OVER () AS whole
-      FROM (SELECT city_id, sum(CAST(amount AS DECIMAL(18,4))) AS total FROM silver
+      FROM (SELECT city_id, sum(CAST(amount AS DECIMAL(38,10))) AS total FROM silver
             WHERE city_id IS NOT NULL GROUP BY 1)
       WINDOW o AS (ORDER BY total DESC, city_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
         "silver",

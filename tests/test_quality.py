@@ -87,9 +87,18 @@ def test_schema_drift(spark, tmp_path, rows):
     for i, columns in enumerate([["id", "x"], ["id", "x"], ["id", "y"]]):
         df = spark.range(i + 1).withColumn(columns[1], F.lit(1))
         df.toPandas()[columns].to_parquet(tmp_path / f"part-{i}.parquet")
-    assert rows(quality.schema_drift(spark, f"{tmp_path}/part-*.parquet")) == [
+    assert rows(quality.schema_drift(spark, str(tmp_path))) == [
         ("part-0.parquet", 1, 2, False), ("part-1.parquet", 2, 2, False), ("part-2.parquet", 3, 2, True),
     ]
+    spark.range(4).write.parquet(f"{tmp_path}/deep/a")
+    spark.range(5).withColumn("z", F.lit(None).cast("int")).repartition(3).write.parquet(f"{tmp_path}/deep/b")
+    assert rows(quality.schema_drift(spark, f"{tmp_path}/deep", by="folder")) == [("a", 4, 1, False), ("b", 5, 1, False)]
+
+
+def test_a_finding_about_hours_needs_the_column(spark, gold):
+    found = gold_checks.check_gold(spark, {"q3": gold["q3"].drop("hour_of_day"), "q2": gold["q2"]})
+    codes = {r.code for r in found.collect()}
+    assert "q3_hours_range" not in codes and "q2_schema_pdf" in codes and "q2_schema" not in codes
 
 
 def test_silver_anomalies(spark):
