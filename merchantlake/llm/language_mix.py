@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchantlake.llm.common import with_text_id
-from merchantlake.llm.ngrams import counted
+from merchantlake.llm.ngrams import NO_LETTERS, counted
 from merchantlake.llm.training import labelled_sample
 
 UNDETERMINED = "und"
@@ -35,7 +35,6 @@ MAX_SET = 3
 #: Price of one more language, in units of half the logarithm of a document's n-grams. N-grams overlap, so it is over 1.
 PENALTY = 6.0
 LETTER = re.compile(r"[^\W\d_]")
-NO_LETTERS = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalpha()})
 
 
 def _prepare(text: str | None) -> str:

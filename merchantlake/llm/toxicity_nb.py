@@ -19,19 +19,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchantlake.llm.common import logistic, with_text_id
-from merchantlake.llm.ngrams import counted, minimise
+from merchantlake.llm.ngrams import NO_LETTERS, counted, minimise
 from merchantlake.llm.training import fitted, labelled_sample
 
-SIZES = (4, 5)
-BITS = 18
+#: Long enough to hold a word with its begin, or its first letters where a letter takes two bytes.
+SIZES = (6, 8)
+BITS = 20
 #: The bound of the training sample: rows of each class.
 PER_CLASS = 3000
 SMOOTHING = 1.0
-RIDGE = 2.0
+RIDGE = 1.0
 LEAST_TEXTS = 3
 STEPS = 60
 
 
+def _prepare(text: str | None) -> str:
+    """Lower case, a space wherever no letter is, and one before the first word."""
+    return " " + (text or "").lower().translate(NO_LETTERS)
+
+
 @dataclass(frozen=True)
 class Model:
     weights: np.ndarray
@@ -39,7 +45,7 @@ class Model:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out = np.empty(len(texts))
-        for begin, n, owner, bucket, _ in counted(texts, SIZES, BITS):
+        for begin, n, owner, bucket, _ in counted(texts, SIZES, BITS, _prepare):
             sums = np.bincount(owner, weights=self.weights[bucket], minlength=n)
             out[begin : begin + n] = logistic(sums + self.intercept)
         return out
@@ -52,11 +58,10 @@ def fit(toxic: np.ndarray, features: list[np.ndarray]) -> Model:
     zero = Model(np.zeros(1 << BITS, dtype=np.float32), float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     if not 0 < share < 1:
         return zero
-    owner = np.repeat(np.arange(len(features)), [len(f) for f in features])
     bucket = np.concatenate(features)
-    seen = np.bincount(bucket, minlength=1 << BITS)
-    often = seen[bucket] >= LEAST_TEXTS
-    owner, bucket = owner[often], bucket[often]
+    often = (np.bincount(bucket, minlength=1 << BITS) >= LEAST_TEXTS)[bucket]
+    owner = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])[often]
+    bucket = bucket[often]
     ids, column = np.unique(bucket, return_inverse=True)
     if not len(ids):
         return zero
@@ -82,7 +87,7 @@ def fit(toxic: np.ndarray, features: list[np.ndarray]) -> Model:
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         texts, found = batch["text"].tolist(), []
-        for _, n, owner, bucket, _ in counted(texts, SIZES, BITS):
+        for _, n, owner, bucket, _ in counted(texts, SIZES, BITS, _prepare):
             found += np.split(bucket.astype(np.int32), np.searchsorted(owner, np.arange(1, n)))
         yield pd.DataFrame({"label": batch["label"].astype("int32"), "f": found})
 
