@@ -12,6 +12,7 @@ an empty result. Other columns of the input are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from merchantlake.llm.common import LOWER, UPPER, batches_of_bytes, store
 from merchantlake.llm.components import components
-from merchantlake.llm.xxh64 import xxh64_slices
+from merchantlake.llm.xxh64 import remixed, xxh64_slices
 
 BITS = 64
 SHINGLE = 3
@@ -99,18 +100,18 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
-def _cut(counts: dict[int, int], limit: int) -> dict[tuple[int, int], bool]:
+def _cut(counts: dict[int, int], limit: int, bits: int = PREFIX) -> dict[tuple[int, int], bool]:
     """Nodes (depth, prefix) of the upper trie; True marks a leaf: small enough, or as deep as the counts go."""
     totals: dict[tuple[int, int], int] = {}
     for prefix, n in counts.items():
-        for depth in range(PREFIX + 1):
-            node = (depth, prefix >> (PREFIX - depth))
+        for depth in range(bits + 1):
+            node = (depth, prefix >> (bits - depth))
             totals[node] = totals.get(node, 0) + n
     nodes: dict[tuple[int, int], bool] = {}
     todo = [(0, 0)] if totals else []
     while todo:
         node = todo.pop()
-        nodes[node] = totals[node] <= limit or node[0] == PREFIX
+        nodes[node] = totals[node] <= limit or node[0] == bits
         if not nodes[node]:
             todo += [c for c in _children(node) if c in totals]
     return nodes
@@ -235,19 +236,27 @@ def _link_leaves(budget: int):
     return link
 
 
+def _plan(counts: dict[int, int], leaves: int, bits: int, budget: int):
+    """(prefix, leaf) of every prefix, and (leaf, pair, right) of every leaf that takes part in a pair."""
+    total = sum(counts.values())
+    limit = max(min(max(total // leaves, LEAST_LEAF), LARGEST_LEAF), -(-total // MAX_LEAVES))
+    nodes = _cut(counts, limit, bits)
+    number = {node: k for k, node in enumerate(sorted(n for n, is_leaf in nodes.items() if is_leaf))}
+    of_prefix = [
+        (p, next(number[d, p >> (bits - d)] for d in range(bits + 1) if (d, p >> (bits - d)) in number)) for p in counts
+    ]
+    pairs = [(number[a], number[b]) for a, b in _leaf_pairs(nodes, budget)]
+    sides = [(x, k, False) for k, (x, _) in enumerate(pairs)] + [(y, k, True) for k, (x, y) in enumerate(pairs) if x != y]
+    return of_prefix, sides
+
+
 def trie_links(values: DataFrame, budget: int = BUDGET) -> DataFrame:
     """Links (a, b) that connect what differs in at most ``budget`` bits, from distinct ``fp``; values are stored."""
     spark = values.sparkSession
     prefix = F.shiftrightunsigned("fp", BITS - PREFIX)
     # At most 2**16 counts, whatever the size of the table.
     counts = {r[0]: r[1] for r in values.groupBy(prefix.alias("prefix")).count().collect()}
-    total = sum(counts.values())
-    limit = max(min(max(total // LEAVES, LEAST_LEAF), LARGEST_LEAF), -(-total // MAX_LEAVES))
-    nodes = _cut(counts, limit)
-    leaves = {node: k for k, node in enumerate(sorted(n for n, is_leaf in nodes.items() if is_leaf))}
-    of_prefix = [(p, next(leaves[(d, p >> (PREFIX - d))] for d in range(PREFIX + 1) if (d, p >> (PREFIX - d)) in leaves)) for p in counts]
-    pairs = [(leaves[a], leaves[b]) for a, b in _leaf_pairs(nodes, budget)]
-    sides = [(x, k, False) for k, (x, _) in enumerate(pairs)] + [(y, k, True) for k, (x, y) in enumerate(pairs) if x != y]
+    of_prefix, sides = _plan(counts, LEAVES, PREFIX, budget)
     by_prefix = spark.createDataFrame(of_prefix, "prefix bigint, leaf int")
     by_leaf = spark.createDataFrame(sides, "leaf int, pair int, right boolean")
     dealt = (
@@ -259,32 +268,128 @@ def trie_links(values: DataFrame, budget: int = BUDGET) -> DataFrame:
     return dealt.groupBy("pair").applyInPandas(_link_leaves(budget), "a bigint, b bigint")
 
 
+def _component_names(folded: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component_id) from (node, least) and links between nodes."""
+    roots = store(components(links), "roots")
+    linked = roots.join(folded, "node")
+    smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
+    named = linked.join(smallest, "root").select("node", "smallest")
+    return store(folded.join(named, "node", "left").select("node", F.coalesce("smallest", "least").alias("component_id")), "named")
+
+
 def simhash_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BUDGET
 ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id reachable over links."""
     rows = store(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    folded = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "folded")
-    roots = store(components(trie_links(folded.select("fp"), budget)), "roots")
-    linked = roots.join(folded, F.col("node") == F.col("fp")).select("fp", "root", "least")
-    smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
-    named = linked.join(smallest, "root").select(F.col("fp").alias("node"), "smallest")
-    named = store(
-        folded.join(named, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("smallest", "least").alias("component_id")),
-        "named",
-    )
+    folded = store(rows.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least")), "folded")
+    named = _component_names(folded, trie_links(folded.select(F.col("node").alias("fp")), budget))
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(named, "fp", "left").select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
+    return rows.join(named.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "doc_id", hexadecimal.alias("fingerprint"), "component_id"
+    )
+
+
+# Similar texts. Two texts that share 0.8 of their shingles differ in about 15% of the bits of a fingerprint, far more than
+# a trie can search. Of many short fingerprints, though, some differ in few bits: each of these has a trie of its own, and
+# what it finds is held against all bits together.
+
+SIMILAR_SHINGLE = 5
+SIMILARITY = 0.8
+PRINTS = 5
+HALF = 32
+SIMILAR_PREFIX, SIMILAR_LEAVES = 8, 4
+SIGNATURE = [f"s{k}" for k in range(PRINTS)]
+
+
+def allowed_bits(similarity: float, bits: int = PRINTS * BITS) -> int:
+    """Bits that may differ at a Jaccard similarity: the expected number by the angle, and half a standard deviation."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * share + 0.5 * math.sqrt(bits * share * (1 - share)))
+
+
+def _signatures(shingle: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = batch["text"].tolist()
+            parts = []
+            for b, e in batches_of_bytes(texts, TEXT_AT_ONCE):
+                hashes, shingles = _shingle_hashes(texts[b:e], shingle)
+                parts.append(np.stack([_majorities(remixed(hashes, k), shingles) for k in range(PRINTS)], axis=1))
+            values = np.concatenate(parts) if parts else np.empty((0, PRINTS), dtype=np.int64)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], **{c: values[:, k] for k, c in enumerate(SIGNATURE)}})
+
+    return run
+
+
+def _link_similar(budget: int, most: int):
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        order = np.lexsort((group["key"].to_numpy().view(np.uint64), group["right"].to_numpy()))
+        rows = group.iloc[order]
+        keys, signature = rows["key"].to_numpy().view(np.uint64), rows[SIGNATURE].to_numpy().view(np.uint64)
+        n = int((~rows["right"].to_numpy()).sum())
+        same = n == len(rows)
+        shift = 0 if same else n
+        labels = np.arange(len(rows))
+        for i, j in trie_matches(keys[:n], keys[shift:] if not same else keys, budget, same):
+            apart = labels[i] != labels[j + shift]
+            i, j = i[apart], j[apart] + shift
+            near = np.bitwise_count(signature[i] ^ signature[j]).sum(axis=1) <= most
+            labels = _unite(labels, i[near], j[near])
+        moved = np.flatnonzero(labels != np.arange(len(rows)))
+        nodes = rows["node"].to_numpy()
+        return pd.DataFrame({"a": nodes[moved], "b": nodes[labels[moved]]})
+
+    return link
+
+
+def similar_links(values: DataFrame, similarity: float, budget: int = BUDGET) -> DataFrame:
+    """Links (a, b) between similar signatures, from distinct (node, s0, s1, ...); values are stored."""
+    spark = values.sparkSession
+    halves = [F.shiftleft(c, HALF) if low else F.col(c).bitwiseAND(F.lit(-(1 << HALF))) for c in SIGNATURE for low in (False, True)]
+    tries = F.explode(F.array(*[F.struct(F.lit(t).alias("trie"), h.alias("key")) for t, h in enumerate(halves)])).alias("x")
+    keyed = values.select("node", *SIGNATURE, tries).select("node", *SIGNATURE, "x.trie", "x.key")
+    keyed = keyed.withColumn("prefix", F.shiftrightunsigned("key", BITS - SIMILAR_PREFIX))
+    # At most 2**8 counts for each of the tries.
+    counts: dict[int, dict[int, int]] = {t: {} for t in range(len(halves))}
+    for r in keyed.groupBy("trie", "prefix").count().collect():
+        counts[r[0]][r[1]] = r[2]
+    by_prefix, by_leaf, pairs = [], [], 0
+    for trie, found in counts.items():
+        of_prefix, sides = _plan(found, SIMILAR_LEAVES, SIMILAR_PREFIX, budget)
+        by_prefix += [(trie, p, leaf) for p, leaf in of_prefix]
+        by_leaf += [(trie, leaf, pairs + k, right) for leaf, k, right in sides]
+        pairs += 1 + max((k for _, k, _ in sides), default=0)
+    dealt = (
+        keyed.join(F.broadcast(spark.createDataFrame(by_prefix, "trie int, prefix bigint, leaf int")), ["trie", "prefix"])
+        .join(F.broadcast(spark.createDataFrame(by_leaf, "trie int, leaf int, pair int, right boolean")), ["trie", "leaf"])
+        .select("pair", "right", "key", "node", *SIGNATURE)
+    )
+    return dealt.groupBy("pair").applyInPandas(_link_similar(budget, allowed_bits(similarity)), "a bigint, b bigint")
+
+
+def similar_components(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY
+) -> DataFrame:
+    """doc_id, component_id over links between texts whose shingles are similar, as far as their fingerprints tell."""
+    given = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    columns = ", ".join(f"{c} bigint" for c in SIGNATURE)
+    found = given.mapInPandas(_signatures(shingle), f"doc_id string, {columns}")
+    rows = found.select(F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("doc_id"), F.xxhash64(*SIGNATURE).alias("node"), *SIGNATURE)
+    rows = store(rows, "signatures")
+    folded = store(rows.groupBy("node", *SIGNATURE).agg(F.min("doc_id").alias("least")), "folded")
+    named = _component_names(folded.select("node", "least"), similar_links(folded, similarity))
+    return rows.join(named, "node", "left").select("doc_id", "component_id")
 
 
 def near_duplicates_removed(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BUDGET
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """The rows of ``docs`` whose id names their component; of rows equal in id and text one stays.
+    """The rows of ``docs`` whose id names their component of similar texts; of rows equal in id and text one stays.
 
     A component without any id keeps one of its rows for each text.
     """
-    named = simhash_components(docs, doc_id, text, shingle, budget)
+    named = similar_components(docs, doc_id, text, shingle, similarity)
     kept = store(named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "kept-ids")
     rows, ids = docs.alias("d"), kept.alias("k")
     staying = rows.join(ids, F.col(f"d.`{doc_id}`").eqNullSafe(F.col("k.doc_id")), "left_semi")

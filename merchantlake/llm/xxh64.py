@@ -69,3 +69,14 @@ def xxh64_slices(data: bytes, starts: np.ndarray, lengths: np.ndarray, seed: int
         acc = (acc ^ (acc >> np.uint64(33))) * P2
         acc = (acc ^ (acc >> np.uint64(29))) * P3
         return acc ^ (acc >> np.uint64(32))
+
+
+def remixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Another hash of the same slices for every ``k``; ``k`` zero leaves them as they are."""
+    if not k:
+        return hashes
+    with np.errstate(over="ignore"):
+        x = hashes + np.uint64(k) * P1
+        x = (x ^ (x >> np.uint64(33))) * P2
+        x = (x ^ (x >> np.uint64(29))) * P3
+        return x ^ (x >> np.uint64(32))

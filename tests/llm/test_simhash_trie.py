@@ -69,7 +69,7 @@ def test_one_of_each_group_stays(awkward):
     kept = S.near_duplicates_removed(awkward)
     assert kept.columns == awkward.columns
     ids = [x.doc_id for x in kept.collect()]
-    assert ids.count(5) == 1 and 13 in ids and 14 not in ids
+    assert ids.count(5) == 1 and 13 in ids and 14 not in ids and 6 in ids
 
 
 @pytest.mark.parametrize("area", [0, 4, 10_000])
@@ -117,3 +117,35 @@ def test_components_of_chains_stars_and_cycles(spark):
             break
     got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == label
+
+
+def shingles(text, size=5):
+    words = text.split()
+    return {" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
+def test_similar_texts_are_linked_and_others_are_not(spark):
+    """Copies with ever more words replaced: those over the similarity stay together, far ones stay apart."""
+    r = random.Random(11)
+    texts, wanted = [], []
+    for group in range(60):
+        base = prose(1000 + group, 200).split()
+        for changed in (0, 1, 2, 3, 40):
+            words = list(base)
+            for at in r.sample(range(len(words)), changed):
+                words[at] = f"new{r.randrange(10**6)}"
+            a, b = shingles(" ".join(base)), shingles(" ".join(words))
+            wanted.append((group, len(a & b) / len(a | b)))
+            texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {x.doc_id: x.component_id for x in S.similar_components(docs).collect()}
+    close = [(k, 5 * group) for k, (group, j) in enumerate(wanted) if j >= 0.85]
+    far = [(k, 5 * group) for k, (group, j) in enumerate(wanted) if j <= 0.5]
+    assert len(close) > 150 and len(far) > 50
+    assert sum(got[k] == first for k, first in close) >= 0.99 * len(close)
+    assert all(got[k] != first for k, first in far)
+    assert all(wanted[k][0] == wanted[got[k]][0] for k in got)
+
+
+def test_allowed_bits_grow_as_similarity_falls():
+    assert S.allowed_bits(1.0) == 0 < S.allowed_bits(0.9) < S.allowed_bits(0.8) < S.allowed_bits(0.5) < 160
