@@ -303,9 +303,9 @@ SIGNATURE = [f"s{k}" for k in range(PRINTS)]
 
 
 def allowed_bits(similarity: float, bits: int = PRINTS * BITS) -> int:
-    """Bits that may differ at a Jaccard similarity: the expected number by the angle, and half a standard deviation."""
+    """Bits that may differ at a Jaccard similarity: the expected number by the angle, and one standard deviation."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * share + 0.5 * math.sqrt(bits * share * (1 - share)))
+    return int(bits * share + math.sqrt(bits * share * (1 - share)))
 
 
 def _signatures(shingle: int):
