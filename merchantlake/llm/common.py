@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +14,8 @@ WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOLDS = 5
 
-__all__ = ["WHITE_SPACE", "held_out", "new_path", "packed", "partitions", "store", "table", "words"]
+# The other modules take these from here.
+__all__ = ["new_path", "store"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +73,3 @@ def batches_of_bytes(texts: list[str | None], limit: int):
 def logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1.0 + np.tanh(0.5 * np.clip(x, -60.0, 60.0)))
 
-
-def next_power(x: float) -> int:
-    return max(0, math.ceil(math.log2(max(x, 1e-9))))

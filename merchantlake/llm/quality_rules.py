@@ -128,8 +128,11 @@ def quality_rules(
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
-    return steps.select(
+    judged = F.struct(
         "document", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines",
         "n_ellipsis_lines", "n_bullet_lines",
         base_failed.alias("base_failed"), compile_rules(rules).alias("failed_rules"),
-    ).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+    )
+    # As a row of a generator: a filter on the result would otherwise be moved below the steps and take copies of them
+    # along, down into the functions over words, to be computed again for every word.
+    return steps.select(F.inline(F.array(judged))).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
