@@ -298,7 +298,8 @@ SIMILAR_SHINGLE = 5
 SIMILARITY = 0.8
 PRINTS = 5
 HALF = 32
-SIMILAR_PREFIX, SIMILAR_LEAVES = 8, 4
+# One leaf to a trie until it holds LARGEST_LEAF signatures: the tries are tasks enough, and every cut copies signatures.
+SIMILAR_PREFIX, SIMILAR_LEAVES = 8, 1
 SIGNATURE = [f"s{k}" for k in range(PRINTS)]
 
 
