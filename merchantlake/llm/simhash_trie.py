@@ -291,95 +291,152 @@ def simhash_components(
 
 
 # Similar texts. Two texts that share 0.8 of their shingles differ in about 15% of the bits of a fingerprint, far more than
-# a trie can search. Of many short fingerprints, though, some differ in few bits: each of these has a trie of its own, and
-# what it finds is held against all bits together.
+# a trie can search. Candidates come from bands of minima instead: two texts agree in a minimum with a chance equal to their
+# similarity, whatever their length, and in no band at 0.8 with a chance of (1 - 0.8 ** 4) ** 24, three in a million.
+# Every candidate is then held against the shingles themselves.
 
 SIMILAR_SHINGLE = 5
 SIMILARITY = 0.8
-PRINTS = 5
-HALF = 32
-# One leaf to a trie until it holds LARGEST_LEAF signatures: the tries are tasks enough, and every cut copies signatures.
-SIMILAR_PREFIX, SIMILAR_LEAVES = 8, 1
-SIGNATURE = [f"s{k}" for k in range(PRINTS)]
+BANDS, MINIMA = 24, 4
+MIXERS = np.random.default_rng(SEED).integers(0, 1 << 64, (BANDS * MINIMA, 2), dtype=np.uint64) | np.array([0, 1], dtype=np.uint64)
 
 
-def allowed_bits(similarity: float, bits: int = PRINTS * BITS) -> int:
-    """Bits that may differ at a Jaccard similarity: the expected number by the angle, and one standard deviation."""
+def allowed_bits(similarity: float, bits: int = 5 * BITS) -> int:
+    """Bits that may differ at a Jaccard similarity: the expected number by the angle, and one standard deviation.
+
+    An estimate only; similar texts are told by their shingles.
+    """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     return int(bits * share + math.sqrt(bits * share * (1 - share)))
 
 
-def _signatures(shingle: int):
+def _shingle_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of the shingles of some texts, and how many each text has."""
+    hashes, shingles = _shingle_hashes(texts, size)
+    owner = np.repeat(np.arange(len(shingles)), shingles)
+    order = np.lexsort((hashes, owner))
+    hashes = hashes[order]
+    first = np.ones(len(hashes), dtype=bool)
+    first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[first], np.bincount(owner[first], minlength=len(shingles))
+
+
+def _digests(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """One number for each set, zero for an empty one."""
+    out = np.zeros(len(sizes), dtype=np.uint64)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        n = sizes[some]
+        out[some] = remixed(np.add.reduceat(remixed(hashes, 1), np.cumsum(n) - n) ^ n.astype(np.uint64), 2)
+    return out.view(np.int64)
+
+
+def _bands(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The keys of each set's bands; an empty set has none."""
+    some = np.flatnonzero(sizes)
+    out = [np.empty(0, dtype=np.int64)] * len(sizes)
+    if not len(some):
+        return out
+    starts = np.cumsum(sizes[some]) - sizes[some]
+    keys = np.zeros((len(some), BANDS), dtype=np.uint64)
+    for k, (flip, factor) in enumerate(MIXERS):
+        least = np.minimum.reduceat((hashes ^ flip) * factor, starts)
+        keys[:, k // MINIMA] = remixed(keys[:, k // MINIMA] ^ least, k + 1)
+    for i, row in zip(some, keys.view(np.int64)):
+        out[i] = row
+    return out
+
+
+def _sketches(shingle: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
-            parts = []
+            nodes, keys = [np.empty(0, dtype=np.int64)], []
             for b, e in batches_of_bytes(texts, TEXT_AT_ONCE):
-                hashes, shingles = _shingle_hashes(texts[b:e], shingle)
-                parts.append(np.stack([_majorities(remixed(hashes, k), shingles) for k in range(PRINTS)], axis=1))
-            values = np.concatenate(parts) if parts else np.empty((0, PRINTS), dtype=np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], **{c: values[:, k] for k, c in enumerate(SIGNATURE)}})
+                sets = _shingle_sets(texts[b:e], shingle)
+                nodes.append(_digests(*sets))
+                keys += _bands(*sets)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "node": np.concatenate(nodes), "keys": keys})
 
     return run
 
 
-def _link_similar(budget: int, most: int):
-    def link(group: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((group["key"].to_numpy().view(np.uint64), group["right"].to_numpy()))
-        rows = group.iloc[order]
-        keys, signature = rows["key"].to_numpy().view(np.uint64), rows[SIGNATURE].to_numpy().view(np.uint64)
-        n = int((~rows["right"].to_numpy()).sum())
-        same = n == len(rows)
-        shift = 0 if same else n
-        labels = np.arange(len(rows))
-        for i, j in trie_matches(keys[:n], keys[shift:] if not same else keys, budget, same):
-            apart = labels[i] != labels[j + shift]
-            i, j = i[apart], j[apart] + shift
-            near = np.bitwise_count(signature[i] ^ signature[j]).sum(axis=1) <= most
-            labels = _unite(labels, i[near], j[near])
-        moved = np.flatnonzero(labels != np.arange(len(rows)))
-        nodes = rows["node"].to_numpy()
-        return pd.DataFrame({"a": nodes[moved], "b": nodes[labels[moved]]})
+def _noded(shingle: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = batch["text"].tolist()
+            parts = [_digests(*_shingle_sets(texts[b:e], shingle)) for b, e in batches_of_bytes(texts, TEXT_AT_ONCE)]
+            yield pd.DataFrame({"node": np.concatenate([np.empty(0, dtype=np.int64), *parts]), "text": batch["text"]})
 
-    return link
+    return run
 
 
-def similar_links(values: DataFrame, similarity: float, budget: int = BUDGET) -> DataFrame:
-    """Links (a, b) between similar signatures, from distinct (node, s0, s1, ...); values are stored."""
-    spark = values.sparkSession
-    halves = [F.shiftleft(c, HALF) if low else F.col(c).bitwiseAND(F.lit(-(1 << HALF))) for c in SIGNATURE for low in (False, True)]
-    tries = F.explode(F.array(*[F.struct(F.lit(t).alias("trie"), h.alias("key")) for t, h in enumerate(halves)])).alias("x")
-    keyed = values.select("node", *SIGNATURE, tries).select("node", *SIGNATURE, "x.trie", "x.key")
-    keyed = keyed.withColumn("prefix", F.shiftrightunsigned("key", BITS - SIMILAR_PREFIX))
-    # At most 2**8 counts for each of the tries.
-    counts: dict[int, dict[int, int]] = {t: {} for t in range(len(halves))}
-    for r in keyed.groupBy("trie", "prefix").count().collect():
-        counts[r[0]][r[1]] = r[2]
-    by_prefix, by_leaf, pairs = [], [], 0
-    for trie, found in counts.items():
-        of_prefix, sides = _plan(found, SIMILAR_LEAVES, SIMILAR_PREFIX, budget)
-        by_prefix += [(trie, p, leaf) for p, leaf in of_prefix]
-        by_leaf += [(trie, leaf, pairs + k, right) for leaf, k, right in sides]
-        pairs += 1 + max((k for _, k, _ in sides), default=0)
-    dealt = (
-        keyed.join(F.broadcast(spark.createDataFrame(by_prefix, "trie int, prefix bigint, leaf int")), ["trie", "prefix"])
-        .join(F.broadcast(spark.createDataFrame(by_leaf, "trie int, leaf int, pair int, right boolean")), ["trie", "leaf"])
-        .select("pair", "right", "key", "node", *SIGNATURE)
-    )
-    return dealt.groupBy("pair").applyInPandas(_link_similar(budget, allowed_bits(similarity)), "a bigint, b bigint")
+def jaccard(left: list[str | None], right: list[str | None], shingle: int) -> np.ndarray:
+    """The similarity of each pair of texts by their sets of shingles; two empty sets are equal."""
+    out = np.ones(len(left))
+    both = [(x or "") + " " + (y or "") for x, y in zip(left, right)]
+    for b, e in batches_of_bytes(both, TEXT_AT_ONCE):
+        hashes, sizes = _shingle_sets(left[b:e] + right[b:e], shingle)
+        sets = np.split(hashes, np.cumsum(sizes)[:-1])
+        for k in range(e - b):
+            x, y = sets[k], sets[k + e - b]
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            if len(x) + len(y):
+                out[b + k] = shared / (len(x) + len(y) - shared)
+    return out
+
+
+def _verified(shingle: int, similarity: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            near = jaccard(batch["x"].tolist(), batch["y"].tolist(), shingle) >= similarity
+            yield batch.loc[near, ["a", "b"]]
+
+    return run
+
+
+def _similar_pairs(pairs: DataFrame, given: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Those of the candidates (a, b) whose texts are similar. The texts of a node differ at most outside its shingles."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = given.select("text").mapInPandas(_noded(shingle), "node bigint, text string").dropDuplicates(["node"])
+    texts = store(texts.join(wanted, "node", "left_semi"), "candidate-texts")
+    one, other = (texts.select(F.col("node").alias(n), F.col("text").alias(t)) for n, t in (("a", "x"), ("b", "y")))
+    met = pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y")
+    return store(met.mapInPandas(_verified(shingle, similarity), "a bigint, b bigint"), "similar")
+
+
+def similar_links(folded: DataFrame, given: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links (a, b) that connect all candidates that are similar, from distinct (node, keys); both inputs are read again.
+
+    In every band's group each node is held against the smallest first. Only groups that this leaves in several components
+    have more candidates: the nodes apart from the smallest node's component, with those of other components.
+    """
+    keyed = folded.select("node", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last")
+    members = store(keyed.join(shared.drop("last"), "key"), "members")
+    first = store(members.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "candidates")
+    links = _similar_pairs(first, given, shingle, similarity)
+    roots = store(components(links), "first-roots")
+    named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of_heads = roots.select(F.col("node").alias("head"), F.col("root").alias("head_root"))
+    named = named.join(of_heads, "head", "left").withColumn("head_root", F.coalesce("head_root", "head"))
+    named = store(named.select("key", "node", "head", "root", "head_root"), "named-members")
+    apart = named.where("root != head_root").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"))
+    met = apart.join(named.where("node != head"), "key").where("x_root != root")
+    more = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    second = store(more.join(first, ["a", "b"], "left_anti"), "more-candidates")
+    return links.unionByName(_similar_pairs(second, given, shingle, similarity))
 
 
 def similar_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """doc_id, component_id over links between texts whose shingles are similar, as far as their fingerprints tell."""
+    """doc_id, component_id over links between texts that share at least ``similarity`` of their shingles."""
     given = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    columns = ", ".join(f"{c} bigint" for c in SIGNATURE)
-    found = given.mapInPandas(_signatures(shingle), f"doc_id string, {columns}")
-    rows = found.select(F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("doc_id"), F.xxhash64(*SIGNATURE).alias("node"), *SIGNATURE)
-    rows = store(rows, "signatures")
-    folded = store(rows.groupBy("node", *SIGNATURE).agg(F.min("doc_id").alias("least")), "folded")
-    named = _component_names(folded.select("node", "least"), similar_links(folded, similarity))
+    found = given.mapInPandas(_sketches(shingle), "doc_id string, node bigint, keys array<bigint>")
+    rows = store(found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType)), "sketches")
+    folded = store(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys")), "folded")
+    named = _component_names(folded.select("node", "least"), similar_links(folded, given, shingle, similarity))
     return rows.join(named, "node", "left").select("doc_id", "component_id")
 
 

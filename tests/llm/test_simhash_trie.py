@@ -149,3 +149,47 @@ def test_similar_texts_are_linked_and_others_are_not(spark):
 
 def test_allowed_bits_grow_as_similarity_falls():
     assert S.allowed_bits(1.0) == 0 < S.allowed_bits(0.9) < S.allowed_bits(0.8) < S.allowed_bits(0.5) < 160
+
+
+def shingle_set(text):
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_similar_texts_equal_brute_force_about_the_threshold(spark):
+    """Pairs at exactly 0.8, just below it, and of half their shingles: joined and left apart by their shingles alone."""
+    given = []
+    for k in range(150):
+        n = (12, 40, 120)[k % 3]  # shingles of the whole text
+        words = [f"w{k}x{i}" for i in range(n + 4)]
+        # Without its last fifth of shingles a text has exactly 0.8 of them; one word less is below.
+        cut = {0: n // 5, 1: n // 5 + 1, 2: n // 2}[k // 3 % 3] if n % 5 == 0 else {0: 2, 1: 3, 2: 6}[k // 3 % 3]
+        given += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[: len(words) - cut]))]
+    sets = [shingle_set(t) for _, t in given]
+    near = {k for k in range(0, 300, 2) if len(sets[k] & sets[k + 1]) / len(sets[k] | sets[k + 1]) >= 0.8}
+    assert sum(len(sets[k + 1]) * 5 == len(sets[k]) * 4 for k in near) >= 30 and len(near) < 60
+    got = {x.doc_id: x.component_id for x in S.similar_components(spark.createDataFrame(given, "doc_id bigint, text string")).collect()}
+    assert {k for k in range(0, 300, 2) if got[k + 1] == k} == near
+    assert all(got[k] == k and got[k + 1] in (k, k + 1) for k in range(0, 300, 2))
+
+
+def test_similar_families_equal_brute_force(spark):
+    """Families whose members are similar to some only, so that links have to be found beside the smallest node's."""
+    r = random.Random(8)
+    given = []
+    for family in range(6):
+        words = [f"f{family}x{i}" for i in range(64)]
+        for _ in range(15):
+            given.append((len(given), " ".join(words)))
+            if r.random() < 0.7:
+                words = list(words)
+                words[r.randrange(64)] = f"n{len(given)}"
+    sets = [shingle_set(t) for _, t in given]
+    label = list(range(len(given)))
+    for i in range(len(given)):
+        for j in range(i):
+            if label[i] != label[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    got = {x.doc_id: x.component_id for x in S.similar_components(spark.createDataFrame(given, "doc_id bigint, text string")).collect()}
+    assert [got[k] for k in range(len(given))] == label
