@@ -3,10 +3,12 @@
 Texts become sequences of tokens in which numbers, units after numbers, and names inside sentences are typed placeholders.
 Windows of tokens of the benchmark's items are looked up by hash in the windows of every document. What the placeholders
 stood for has to map one to one from an item to a document within an alignment, so a question asked again with other
-numbers or names is found, and text that only looks alike is not.
+numbers or names is found, and text that only looks alike is not. Each window is looked up without regard to case, too:
+with its names as words and, where most of it is numbers, with these as they are.
 
-Defined results: a null or empty text has no tokens. Items with no more tokens than a window have windows of one token
-less; items below ``MIN_TOKENS`` cannot be told from chance and match nothing. Null ids take part like others. Rows
+Defined results: a null or empty text has no tokens. In scripts without spaces each character is a token. Items with no
+more tokens than a window have windows of one token less; items below ``MIN_TOKENS`` match by all their tokens as they are,
+and an item of one token cannot be told from chance and matches nothing. Null ids take part like others. Rows
 equal in id and text get one result each. An empty table, or an empty benchmark, gives a result without matches. Other
 columns of the input are not read.
 """
@@ -20,7 +22,9 @@ from merchantlake.llm.common import packed, store, text_of
 
 WINDOW = 10
 MIN_TOKENS = 5
-#: Of a window's tokens, so many at most may be placeholders.
+#: An item of fewer tokens matches nothing.
+LEAST_TOKENS = 2
+#: Of a window's tokens, so many at most may be placeholders; else it is taken as it is.
 MAX_SLOT_SHARE = 0.5
 #: A document is contaminated by an item when it covers this share of the item's tokens, or so many of them in all.
 MIN_SHARE = 0.5
@@ -29,7 +33,8 @@ MIN_COVERED = 25
 MAX_BROADCAST_WINDOWS = 500_000
 
 # What a token is, which tokens end a sentence, and units of measure and money.
-TOKEN = r"\p{L}[\p{L}\p{M}'’-]*|\d+(?:[.,]\d+)*|[%$€£]|[.!?\n]"
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+TOKEN = rf"[{UNSPACED}&&[\p{{L}}]]\p{{M}}*|[\p{{L}}&&[^{UNSPACED}]][[\p{{L}}\p{{M}}'’-]&&[^{UNSPACED}]]*|\d+(?:[.,]\d+)*|[%$€£]|[.!?\n]"
 ENDS = (".", "!", "?", "\n")
 UNITS = (
     "% $ € £ mm cm m km inch inches foot feet yard yards mile miles mg g kg ton tons ounce ounces pound pounds ml l liter liters "
@@ -58,41 +63,64 @@ def _tagged(tokens: Column) -> Column:
     return F.filter(F.transform(tokens, tag), lambda t: t["k"] != "e")
 
 
+# What a window is compared by: its template with names as placeholders, the same with names as words, or as both at once
+# when it has no names.
+TEMPLATE, CASELESS = 1, 2
+
+
 def _windows(size: int) -> Column:
-    """All windows of ``size`` tokens: place, hash of the template, and values of the slots."""
+    """All windows of ``size`` tokens: place, hash, values of the slots, and form (``TEMPLATE``, ``CASELESS`` or their sum)."""
     n = F.size("template")
 
-    def window(i: Column) -> Column:
+    def window(i: Column, tokens: str, values: Column, form: Column) -> Column:
         return F.struct(
-            i.alias("at"), F.lit(size).alias("size"),
-            F.xxhash64(F.lit(size), F.slice("template", i, size)).alias("hash"),
-            F.array_compact(F.slice("slots", i, size)).alias("values"),
+            i.alias("at"), F.lit(size).alias("size"), F.xxhash64(F.lit(size), F.slice(tokens, i, size)).alias("hash"),
+            values.alias("values"), form.alias("form"),
         )
 
-    made = F.transform(F.sequence(F.lit(1), n - size + 1), window)
-    usable = F.filter(made, lambda w: F.size(w["values"]) <= size * MAX_SLOT_SHARE)
-    return F.when(n >= size, usable)
+    def of(i: Column) -> Column:
+        slots = F.array_compact(F.slice("slots", i, size))
+        few = lambda values: (F.size(values) <= size * MAX_SLOT_SHARE) & F.lit(size >= MIN_TOKENS)
+        return F.struct(i.alias("i"), slots.alias("slots"), F.array_compact(F.slice("numbers", i, size)).alias("numbers"), few(slots).alias("few"))
+
+    def caseless(w: Column) -> Column:
+        few = (F.size(w["numbers"]) <= size * MAX_SLOT_SHARE) & F.lit(size >= MIN_TOKENS)
+        both = w["few"] & (F.size(w["slots"]) == F.size(w["numbers"]))
+        as_words = window(w["i"], "caseless", w["numbers"], F.when(both, TEMPLATE + CASELESS).otherwise(CASELESS))
+        return F.when(few, as_words).otherwise(window(w["i"], "literal", F.slice(w["numbers"], 1, 0), F.lit(CASELESS)))
+
+    every = F.transform(F.sequence(F.lit(1), n - size + 1), of)
+    named = F.filter(every, lambda w: w["few"] & (F.size(w["slots"]) > F.size(w["numbers"])))
+    with_names = F.transform(named, lambda w: window(w["i"], "template", w["slots"], F.lit(TEMPLATE)))
+    return F.when(n >= size, F.concat(F.transform(every, caseless), with_names))
 
 
 def templates(texts: DataFrame, *keys: str) -> DataFrame:
-    """``keys`` and, from ``text``: template (hashes of canonical tokens) and slots (values, null where a word stands)."""
+    """``keys`` and, from ``text``, hashes and values of its tokens.
+
+    template, caseless, literal: hashes of the tokens with numbers, units and names as placeholders, without names as such,
+    and as they are. slots, numbers: values of the placeholders of the first two, null where a word stands.
+    """
     found = texts.select(*keys, F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("tokens"))
     tagged = found.select(*keys, "tokens", _tagged(F.col("tokens")).alias("t"))
-    canonical = lambda t: F.xxhash64(F.when(t["k"] == "w", t["v"]).otherwise(F.concat(F.lit("<"), t["k"], F.lit(">"))))
+    hashed = lambda words: lambda t: F.xxhash64(F.when(t["k"].isin(*words), t["v"]).otherwise(F.concat(F.lit("<"), t["k"], F.lit(">"))))
+    kept = lambda words: lambda t: F.when(~t["k"].isin(*words), t["v"])
     return tagged.select(
-        *keys, F.transform("t", canonical).alias("template"), F.transform("t", lambda t: F.when(t["k"] != "w", t["v"])).alias("slots")
-    )
+        *keys, F.transform("t", hashed("w")).alias("template"), F.transform("t", hashed("wp")).alias("caseless"),
+        F.transform("t", lambda t: F.xxhash64(t["v"])).alias("literal"),
+        F.transform("t", kept("w")).alias("slots"), F.transform("t", kept("wp")).alias("numbers"),
+    )
 
 
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """item, n_tokens, at, size, hash, values of every usable window of every item."""
+    """item, n_tokens, at, size, hash, values, form of every window of every item."""
     named = items.select(F.col(f"`{item_id}`").alias("item"), text_of(F.col(f"`{text}`")).alias("text"))
     shaped = templates(named, "item").withColumn("n_tokens", F.size("template"))
     # A short item has windows of one token less, one case for each length: its first word begins a sentence, and would be
     # a name where a document goes on without one.
     cases = F.when(F.col("n_tokens") > window, _windows(window))
-    for n in range(MIN_TOKENS, window + 1):
-        cases = cases.when(F.col("n_tokens") == n, _windows(max(MIN_TOKENS, n - 1)))
+    for n in range(LEAST_TOKENS, window + 1):
+        cases = cases.when(F.col("n_tokens") == n, _windows(n if n < MIN_TOKENS else max(MIN_TOKENS, n - 1)))
     return shaped.select("item", "n_tokens", F.inline(cases))
 
 
@@ -122,7 +150,10 @@ def matches(keyed: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFra
     small = known.count() <= MAX_BROADCAST_WINDOWS
     of_items = (F.broadcast(known) if small else known).alias("b")
     met = of_docs.join(of_items, (F.col("d.hash") == F.col("b.hash")) & (F.col("d.size") == F.col("b.size")))
-    aligned = met.groupBy("doc", "th", "item", (F.col("d.at") - F.col("b.at")).alias("shift")).agg(
+    # An alignment is judged for each form by itself: a name written as a word maps to nothing.
+    forms = F.filter(F.array(F.lit(TEMPLATE), F.lit(CASELESS)), lambda f: F.col("d.form").bitwiseAND(F.col("b.form")).bitwiseAND(f) != 0)
+    met = met.select("*", F.explode(forms).alias("by"))
+    aligned = met.groupBy("doc", "th", "item", (F.col("d.at") - F.col("b.at")).alias("shift"), "by").agg(
         F.first("n_tokens").alias("n_tokens"),
         F.collect_set(F.struct(F.col("b.at").alias("at"), F.col("b.size").alias("size"))).alias("windows"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("b.values").alias("x"), F.col("d.values").alias("y"))))).alias("pairs"),

@@ -64,3 +64,30 @@ def test_placeholders_have_types(spark):
         ("it", "w"), ("cost", "w"), ("5", "n"), ("km", "u"), ("said", "w"), ("bob", "p"), ("then", "w"), ("upper", "w"),
         ("3.5", "n"), ("%", "u"), ("more", "w"),
     ]
+
+
+def found(spark, items, docs):
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    given = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    return [x["items"] for x in D.contaminated(given, benchmark).orderBy("doc_id").collect()]
+
+
+def test_windows_of_slots_and_short_items_match_as_they_are(spark):
+    items = [
+        "What is 12 + 7 * 3 - 45 / 9?", "The Old Man And The Sea By Ernest Miller Hemingway Of Oak Park", "Who wrote Hamlet?",
+        "長江是亞洲最長的河流嗎", "光合作用",
+    ]
+    wrap = lambda x: f"{prose(1, 20)}. {x} {prose(2, 20)}"
+    docs = [wrap(x) for x in items] + [
+        wrap("What is 13 + 8 * 4 - 46 / 8?"), wrap("The Young Girl And The Hill By Anna Maria Smithson Of Elm Road"), wrap("Who wrote Macbeth?"),
+        wrap("我們知道長江是亞洲最長的河流嗎請回答"), wrap("合作光用"),
+    ]
+    assert found(spark, items, docs) == [[0], [1], [2], [3], [4], [], [], [], [3], []]
+
+
+def test_names_in_another_case(spark):
+    german = "Der Zug verlässt den Bahnhof der Stadt um 9 Uhr und erreicht das Dorf am Fluss nach 3 Stunden Fahrt"
+    docs = [prose(1, 20) + " " + x + " " + prose(2, 20) for x in (SAME.lower(), SAME.upper(), german.lower(), german.upper(), SAME.title(), MUDDLED.lower())]
+    assert found(spark, [SAME, german], docs) == [[0], [0], [1], [1], [0], []]
+    other = SAME.lower().replace("60", "75").replace("after 5", "after 9")
+    assert found(spark, [SAME], [other]) == [[0]]
