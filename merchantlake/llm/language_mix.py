@@ -2,7 +2,8 @@
 
 Every language has a distribution over hashed byte n-grams, learnt from labelled texts. A document is a mixture of
 languages whose proportions expectation-maximisation estimates from its n-grams. Smaller sets, made of the languages with
-the largest proportions, are fitted again, and the set with the best likelihood after a price per language is selected.
+the largest proportions, are fitted again, and the set with the best likelihood after a price per language is selected. Sets
+of every size up to all languages take part, except where no set of that size could do better.
 
 Defined results: a text that is null or has no letters is ``und`` with score 1. Null ids count as held out and are never
 learnt from, as are rows without a language. Repeated rows get equal results. An empty table gives an empty result; with
@@ -31,7 +32,6 @@ BITS = 14
 PER_LANGUAGE = 2000
 SMOOTHING = 0.5
 ROUNDS = 8
-MAX_SET = 3
 #: Price of one more language, in units of half the logarithm of a document's n-grams. N-grams overlap, so it is over 1.
 PENALTY = 6.0
 LETTER = re.compile(r"[^\W\d_]")
@@ -81,14 +81,25 @@ def _select(p: np.ndarray, times: np.ndarray, starts: np.ndarray, which: np.ndar
     full, _ = _expect(p, times, starts, which, even, ROUNDS)
     rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
     price = 0.5 * PENALTY * np.log(np.add.reduceat(times, starts))
-    best, best_value = full, np.full(len(starts), -np.inf)
-    for size in range(1, min(MAX_SET, languages) + 1):
-        mix = np.where(rank < size, np.maximum(full, 1e-6), 0).astype(np.float32)
+    # No mixture is likelier than the likeliest language of each n-gram by itself.
+    ceiling = np.add.reduceat(times * np.log(np.maximum(p.max(axis=1), 1e-30)), starts)
+    best, best_value = full.copy(), np.full(len(starts), -np.inf)
+    for size in range(1, languages + 1):
+        open_ = np.flatnonzero(ceiling - size * price > best_value)
+        if not len(open_):
+            break
+        taken = np.zeros(len(starts), dtype=bool)
+        taken[open_] = True
+        part = slice(None) if taken.all() else taken[which]
+        own = which[part]
+        begins = np.flatnonzero(np.diff(own, prepend=-1))
+        mix = np.where(rank[open_] < size, np.maximum(full[open_], 1e-6), 0).astype(np.float32)
         mix /= mix.sum(axis=1, keepdims=True)
-        mix, fit = _expect(p, times, starts, which, mix, 1 if size == 1 else 3)
-        value = fit - size * price
-        better = value > best_value
-        best, best_value = np.where(better[:, None], mix, best), np.where(better, value, best_value)
+        of = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(own))))
+        mix, fit = _expect(p[part], times[part], begins, of, mix, 1 if size == 1 else 3)
+        value = fit - size * price[open_]
+        better = value > best_value[open_]
+        best[open_[better]], best_value[open_[better]] = mix[better], value[better]
     return best
 
 

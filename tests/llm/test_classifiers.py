@@ -146,3 +146,12 @@ def test_nothing_to_learn_from(awkward, no_documents, no_labels, labels):
     assert {x.grade for x in Q.quality_grades(awkward, no_labels, "quality").collect()} == {0}
     unknown = L.languages(awkward.withColumn("lang", F.lit(None).cast("string")))
     assert {x.lang_pred for x in unknown.collect()} == {"und"}
+
+
+def test_a_text_of_four_languages_keeps_them_all(spark):
+    r = random.Random(4)
+    letters = {"ww": "abcdef", "xx": "ghijkl", "yy": "mnopqr", "zz": "stuvwx"}
+    rows = [(k, sentence(r, letters[n], 30), n) for k, n in enumerate(sorted(letters) * 60)]
+    model = L.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    mix, _ = model.mixtures([" ".join(sentence(r, x, 200) for x in letters.values()), sentence(r, letters["ww"], 50)])
+    assert (np.abs(mix[0] - 0.25) < 0.03).all() and np.count_nonzero(mix[1]) == 1
