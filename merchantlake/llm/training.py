@@ -20,9 +20,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     place = Window.partitionBy("label").orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id")
     chosen = known.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= per_class).drop("_place")
     chosen = store(chosen, "sample-ids")
-    # At most per_class ids for each class.
+    # At most per_class ids for each class; of rows that repeat an id, the smallest text stays.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return rows.select("label", "text")
+    return rows.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text")).select("label", "text")
 
 
 def fitted(features: DataFrame, fit, schema: str) -> pd.DataFrame:

@@ -155,3 +155,11 @@ def test_a_text_of_four_languages_keeps_them_all(spark):
     model = L.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
     mix, _ = model.mixtures([" ".join(sentence(r, x, 200) for x in letters.values()), sentence(r, letters["ww"], 50)])
     assert (np.abs(mix[0] - 0.25) < 0.03).all() and np.count_nonzero(mix[1]) == 1
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    docs = spark.createDataFrame([(k % 50, f"text {k}") for k in range(500)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(k, k % 2) for k in range(50)], "doc_id bigint, toxic int")
+    sample = labelled_sample(docs, marks, "toxic", 100).collect()
+    known = docs.where(~held_out(F.col("doc_id"))).select("doc_id").distinct().count()
+    assert len(sample) == len({x.text for x in sample}) == known
