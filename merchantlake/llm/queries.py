@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from merchantlake.llm import oracle
 from merchantlake.llm.common import table
+from merchantlake.llm.conversation_repair import repaired
 from merchantlake.llm.decontaminate import contaminated
+from merchantlake.llm.hard_negatives import hard_negatives
 from merchantlake.llm.language_mix import languages
 from merchantlake.llm.quality_ordinal import quality_grades
 from merchantlake.llm.quality_rules import quality_rules
@@ -67,6 +69,16 @@ def op10_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row has the next label; every hundredth is an anchor."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_ordinal": op2_quality_ordinal,
@@ -78,9 +90,13 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity_nb": op10_toxicity_nb,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLE = {
     "op5_source_mix": oracle.SOURCE_MIX,
     "op7_warc_index": oracle.ARCHIVED_PAGES,
     "op9_quality_rules": oracle.QUALITY_RULES,
+    "op11_hard_negatives": oracle.HARD_NEGATIVES,
+    "op13_conversation_repair": oracle.CONVERSATION_REPAIR,
 }
