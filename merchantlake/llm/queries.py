@@ -15,6 +15,7 @@ from merchantlake.llm.quality_ordinal import quality_grades
 from merchantlake.llm.quality_rules import quality_rules
 from merchantlake.llm.simhash_trie import simhash_components
 from merchantlake.llm.source_mix import mix_sources
+from merchantlake.llm.substring_dedup import substring_dedup
 from merchantlake.llm.suffix_dedup import suffix_dedup
 from merchantlake.llm.token_scan import token_counts
 from merchantlake.llm.toxicity_nb import toxicity
@@ -75,6 +76,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup(table(spark, sf_dir, "documents"))
+    return cut.select("document.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(table(spark, sf_dir, "conversations"))
 
@@ -91,6 +97,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity_nb": op10_toxicity_nb,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLE = {
@@ -98,5 +105,6 @@ ORACLE = {
     "op7_warc_index": oracle.ARCHIVED_PAGES,
     "op9_quality_rules": oracle.QUALITY_RULES,
     "op11_hard_negatives": oracle.HARD_NEGATIVES,
+    "op12_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op13_conversation_repair": oracle.CONVERSATION_REPAIR,
 }
