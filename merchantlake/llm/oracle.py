@@ -128,10 +128,10 @@ WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents
 ), hits AS (
   SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY s) AS first_id FROM windows) WHERE first_id < doc_id
 ), removed AS (
-  SELECT doc_id, list(DISTINCT at) AS places FROM (SELECT doc_id, unnest(range(i, i + 13)) AS at FROM hits) GROUP BY doc_id
+  SELECT doc_id, list(DISTINCT place) AS places FROM (SELECT doc_id, unnest(range(i, i + 13)) AS place FROM hits) GROUP BY doc_id
 ), kept AS (
   SELECT d.doc_id, w, coalesce(len(places), 0) AS n_removed,
-    CASE WHEN places IS NULL THEN w ELSE list_filter(w, lambda x, at: NOT list_contains(places, at)) END AS k
+    CASE WHEN places IS NULL THEN w ELSE list_filter(w, lambda x, k: NOT list_contains(places, k)) END AS k
   FROM d LEFT JOIN removed r USING (doc_id)
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
