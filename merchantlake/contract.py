@@ -63,6 +63,8 @@ TOP_CITIES = 40
 MIN_CITY_TRANSACTIONS = 50
 SCORE_WEIGHTS = (0.4, 0.4, 0.2)
 MAX_NULL_RATIO = 0.05
+#: Columns of Silver whose share of nulls has to stay within the limit before a run publishes it.
+GATED = ("merchant_id", "amount", "purchase_ts")
 
 # Money is added exactly, to so many digits after the point, so a total does not
 # depend on the order in which tasks finish. An amount with more digits is an error.

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from merchantlake import contract as C
 from merchantlake.functions import columns as X
+from merchantlake.operators import scan
+from merchantlake.operators.reuse import store
 
 PER_CITY = (C.SECTION_CITIES, C.SECTION_FINANCING_BY_CITY)
 FINANCING_SECTIONS = (
@@ -94,23 +96,14 @@ def _section_rows(cells: DataFrame) -> DataFrame:
     )
 
 
-def city_score(volume: Column, revenue: Column, ticket: Column, within: list[str]) -> Column:
+def city_score(volume: Column, revenue: Column, ticket: Column) -> Column:
     """Weighted percentile ranks."""
-
-    def standing(measure: Column) -> Column:
-        return F.percent_rank().over(Window.partitionBy(*within).orderBy(measure))
-
     a, b, c = C.SCORE_WEIGHTS
-    return F.lit(a) * standing(volume) + F.lit(b) * standing(revenue) + F.lit(c) * standing(ticket)
+    return F.lit(a) * volume + F.lit(b) * revenue + F.lit(c) * ticket
 
 
-def volume_value_segment(volume: Column, ticket: Column, tie: Column, within: list[str]) -> Column:
+def volume_value_segment(by_volume: Column, by_ticket: Column) -> Column:
     """Which quarter is a row in, by volume and by ticket?"""
-
-    def quarter(measure: Column) -> Column:
-        return F.ntile(4).over(Window.partitionBy(*within).orderBy(measure.desc(), tie.asc()))
-
-    by_volume, by_ticket = quarter(volume), quarter(ticket)
     return (
         F.when((by_volume == 1) & (by_ticket > 2), F.lit("high_volume"))
         .when((by_ticket == 1) & (by_volume > 2), F.lit("high_value"))
@@ -118,36 +111,73 @@ def volume_value_segment(volume: Column, ticket: Column, tie: Column, within: li
     )
 
 
+def standings(base: DataFrame) -> DataFrame:
+    """Percentile ranks of cities and quarters of categories, by (section, part), in one scan of all measures.
+
+    A measure is a number or a decimal; cities rise by it, and share a rank when equal. Categories fall by it, so there
+    its negative rises, with missing ones last, and their names decide between equal ones.
+    """
+
+    def measure(name: str, exact: Column | None, number: Column | None, tie: Column | None) -> Column:
+        value = exact if number is None else number
+        return F.struct(
+            F.lit(name).alias("measure"),
+            (F.lit(False) if tie is None else value.isNull()).alias("missing"),
+            (F.lit(None) if exact is None else exact).cast(C.TOTALS).alias("exact"),
+            (F.lit(None) if number is None else number).cast("double").alias("number"),
+            (F.lit(None) if tie is None else tie).cast("string").alias("tie"),
+        )
+
+    n, total, ticket, part = F.col("n"), F.col("total"), F.col("avg_ticket"), F.col("part")
+    cities = F.array(measure("volume", n, None, None), measure("revenue", total, None, None), measure("ticket", None, ticket, None))
+    categories = F.array(measure("volume", -n, None, part), measure("ticket", None, -ticket, part))
+    is_cities = F.col("section") == C.SECTION_CITIES
+    long = base.where(F.col("section").isin(C.SECTION_CITIES, C.SECTION_CATEGORIES)).select(
+        "section", "part", F.inline(F.when(is_cities, cities).otherwise(categories))
+    )
+    order = ["missing", "exact", "number", "tie"]
+    ranked = scan.looked_up(long, scan.prefix_scan(long, ["section", "measure"], order), ["section", "measure", *order])
+
+    def of(name: str, value: Column) -> Column:
+        return F.max(F.when(F.col("measure") == name, value))
+
+    return ranked.groupBy("section", "part").agg(
+        *[of(name, scan.percent_rank()).alias(f"{name}_rank") for name in ("volume", "revenue", "ticket")],
+        *[of(name, scan.ntile(4)).alias(f"{name}_quarter") for name in ("volume", "ticket")],
+    )
+
+
 def advisory_summary(cells: DataFrame, top_cities: int = C.TOP_CITIES) -> DataFrame:
-    """All sections of the advisory in one plan; windows run per section.
+    """All sections of the advisory in one plan.
 
-    Rows are cities, categories, months, hours and financing modes by then, never
-    transactions or merchants, so a section is small enough for one task.
+    A section has a row for each city, category, month, hour or financing mode, by then, never for each transaction. Ranks and
+    running sums are scanned slice by slice, so that no task sorts a section, however many cities there are.
     """
     section, part, flag = F.col("section"), F.col("part"), F.col("flag")
     is_cities, is_categories = section == C.SECTION_CITIES, section == C.SECTION_CATEGORIES
     is_financing = section.isin(*FINANCING_SECTIONS)
     is_split = section.isin(C.SECTION_FINANCING_BY_CATEGORY, C.SECTION_FINANCING_BY_CITY)
-    per_section = Window.partitionBy("section")
 
-    base = _section_rows(cells).withColumn("avg_ticket", X.ratio(F.col("total"), F.col("n")))
-    scored = base.withColumns(
-        {
-            "_order": F.when(is_cities, city_score(F.col("n"), F.col("total"), F.col("avg_ticket"), ["section"])).otherwise(
-                F.col("total").cast("double")
-            ),
-            "_segment": volume_value_segment(F.col("n"), F.col("avg_ticket"), part, ["section"]),
-        }
+    base = store(_section_rows(cells).withColumn("avg_ticket", X.ratio(F.col("total"), F.col("n"))), "sections")
+    standing = scan.looked_up(base, standings(base), ["section", "part"], "left")
+    score = city_score(F.col("volume_rank"), F.col("revenue_rank"), F.col("ticket_rank"))
+    scored = standing.select(
+        *base.columns,
+        F.when(is_cities, score).otherwise(F.col("total").cast("double")).alias("_order"),
+        volume_value_segment(F.col("volume_quarter"), F.col("ticket_quarter")).alias("_segment"),
     )
     # Shares of the city section are of the cities kept here.
-    place = F.row_number().over(per_section.orderBy(F.col("_order").desc(), part.try_cast("int")))
-    kept = scored.withColumn("_place", place).where(~is_cities | (F.col("_place") <= top_cities))
-
-    whole = F.sum("total").over(per_section)
-    # Rows with equal order share one running total.
-    running = F.sum("total").over(
-        per_section.orderBy(F.col("_order").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    leading = scored.where(is_cities).orderBy(F.col("_order").desc(), part.try_cast("int")).limit(top_cities)
+    # What is left has a row for each kept city, category, month, hour and mode; rows with equal order share one running total.
+    per_section = Window.partitionBy("section")
+    falling = per_section.orderBy(F.col("_order").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    few = scored.where(~is_cities & ~is_split).unionByName(leading)
+    few = few.withColumns({"_whole": F.sum("total").over(per_section), "_upto": F.sum("total").over(falling)})
+    # Sections split by a flag can have a row for each city: their totals are added up in parts, and nothing runs.
+    wholes = base.where(is_split).groupBy("section").agg(F.sum("total").alias("_whole"))
+    split = scored.where(is_split).join(F.broadcast(wholes), "section").withColumn("_upto", F.lit(None).cast(few.schema["_upto"].dataType))
+    kept = few.unionByName(split)
+    whole, running = F.col("_whole"), F.col("_upto")
     total = F.col("total").cast("double")
     financed = flag == C.FINANCED
     revenue = F.when(financed, X.financed_revenue(total)).otherwise(total)

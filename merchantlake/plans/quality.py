@@ -9,6 +9,7 @@ from merchantlake import contract as C
 from merchantlake.functions import columns as X
 from merchantlake.operators.joins import lookup_join
 from merchantlake.operators.reuse import store
+from merchantlake.sources.tables import DataQualityError
 
 KEY = "merchant_id"
 # The columns that the two raw tables are documented to have.
@@ -16,10 +17,6 @@ TRANSACTION_DICTIONARY = ["merchant_id", "purchase_amount", "category", "purchas
 MERCHANT_DICTIONARY = C.MERCHANTS.names
 
 
-class DataQualityError(ValueError):
-    """A table breaks a quality limit."""
-
-
 def _nulls(column: str) -> Column:
     return F.count_if(F.col(column).isNull())
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from merchantlake import contract as C
 from merchantlake.functions import columns as X
+from merchantlake.operators import scan
 
 
 def choices(df: DataFrame, column: str) -> DataFrame:
@@ -272,20 +273,13 @@ def pareto_cut(advisory_cells: DataFrame, share: float = 0.8) -> DataFrame:
         .groupBy("city_id")
         .agg(X.sum_of_totals(F.col("total")).alias("total"))
     )
-    everything = Window.partitionBy(F.lit(1))
-    order = everything.orderBy(F.col("total").desc(), F.col("city_id").asc())
-    ranked = cities.withColumns(
-        {
-            "place": F.row_number().over(order),
-            "upto": F.sum("total").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-            "whole": F.sum("total").over(everything),
-        }
-    )
+    # Cities of equal revenue follow each other by number.
+    ranked = scan.prefix_scan(cities, [], ["-total", "city_id"], {"upto": F.col("total")})
 
     def top(n: int) -> Column:
-        return X.ratio(F.sum(F.when(F.col("place") <= n, F.col("total"))), F.max("whole"))
+        return X.ratio(F.sum(F.when(F.col(scan.BEFORE) < n, F.col("total"))), F.max("whole_upto"))
 
-    below = X.ratio(F.col("upto") - F.col("total"), F.col("whole")) < share
+    below = X.ratio(F.col("upto") - F.coalesce("total", F.lit(0)), F.col("whole_upto")) < share
     return ranked.agg(
         top(5).alias("top_5_share"), top(10).alias("top_10_share"), F.count_if(below).alias("cities_for_share")
     )

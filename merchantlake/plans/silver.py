@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +55,19 @@ def conform(transactions: DataFrame) -> DataFrame:
     )
 
 
+def reading_order() -> tuple[Column, Column]:
+    """What readers of Silver filter by: month, then city."""
+    return F.date_trunc("month", "purchase_ts"), F.col("city_id")
+
+
+def of_months(transactions: DataFrame, months: list[str]) -> DataFrame:
+    """Transactions of some months (``yyyy-MM``), as ranges of the purchase time that reach the scan."""
+    ts = next(c for c in ("purchase_ts", "purchase_date") if c in transactions.columns)
+    first = [F.to_date(F.lit(f"{m}-01")) for m in months]
+    inside = [(F.col(ts) >= d) & (F.col(ts) < F.add_months(d, 1)) for d in first]
+    return transactions.where(reduce(lambda a, b: a | b, inside))
+
+
 def enrich(transactions: DataFrame, resolved: DataFrame) -> DataFrame:
     """Transactions with ``merchant_name`` (the id when unknown) and a category that is never null.
 

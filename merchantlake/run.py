@@ -64,25 +64,38 @@ def run_bronze(spark: SparkSession, settings: Settings) -> None:
     tables.write_table(tables.with_lineage(merchants, settings.merchants), settings.at("bronze", "merchants"), fmt=settings.fmt)
 
 
-def run_silver(spark: SparkSession, settings: Settings, partition_by_month: bool = False) -> None:
-    """One merchant per id, the audit of repeated ids, and the enriched transactions."""
+def run_silver(
+    spark: SparkSession, settings: Settings, partition_by_month: bool = False, months: list[str] | None = None,
+    max_null_ratio: float = C.MAX_NULL_RATIO,
+) -> list[str]:
+    """One merchant per id, the audit of repeated ids, and the enriched transactions.
+
+    ``months`` (``yyyy-MM``) rebuilds these months of a table that is partitioned by month, and no other. Transactions with too
+    many nulls in a key column are not published. Returns the partition folders that were replaced.
+    """
     merchants = tables.read_table(spark, settings.at("bronze", "merchants"), settings.fmt)
     resolved_path = settings.at("silver", "merchants_resolved")
     tables.write_table(silver.resolve_merchants(merchants), resolved_path, fmt=settings.fmt)
     tables.write_table(silver.audit_duplicates(merchants), settings.at("silver", "merchants_duplicates_audit"), fmt=settings.fmt)
 
     transactions = tables.read_table(spark, settings.at("bronze", "transactions"), settings.fmt)
+    if months:
+        transactions = silver.of_months(transactions, months)
     enriched = silver.enrich(transactions, tables.read_table(spark, resolved_path, settings.fmt))
     C.assert_contract(enriched, C.SILVER, "enriched_transactions")
-    if partition_by_month:
-        year, month = MONTH_FOLDERS
-        enriched = enriched.withColumns({year: F.year("purchase_ts"), month: F.month("purchase_ts")})
-    tables.write_table(
-        enriched,
-        settings.at("silver", "enriched_transactions"),
-        fmt=settings.fmt,
-        partition_by=MONTH_FOLDERS if partition_by_month else (),
-    )
+    gate = tables.Gate(C.GATED, max_null_ratio, "enriched_transactions")
+    target = settings.at("silver", "enriched_transactions")
+    if not (partition_by_month or months):
+        tables.write_table(enriched, target, fmt=settings.fmt, cluster_by=silver.reading_order(), gate=gate)
+        return []
+    year, month = MONTH_FOLDERS
+    enriched = enriched.withColumns({year: F.year("purchase_ts"), month: F.month("purchase_ts")})
+    if months:
+        only = [dict(zip(MONTH_FOLDERS, (int(x) for x in m.split("-")))) for m in months]
+        return tables.write_partitions(enriched, target, MONTH_FOLDERS, only=only, fmt=settings.fmt, cluster_by=("city_id",), gate=gate)
+    clustered = (*MONTH_FOLDERS, "city_id")
+    tables.write_table(enriched, target, fmt=settings.fmt, partition_by=MONTH_FOLDERS, cluster_by=clustered, gate=gate)
+    return []
 
 
 def _gold(settings: Settings, key: str) -> str:
@@ -212,7 +225,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--strict", action="store_true", help="validate: exit 1 on a failed check of severity error")
     parser.add_argument("--partition-by-month", action="store_true", help="silver: one folder per month")
     parser.add_argument("--name", help="report: its name, such as rep_q1_months")
-    parser.add_argument("--month", action="append", help="report: a month; may be given several times")
+    parser.add_argument("--month", action="append", help="report: a month; silver: a month to rebuild; may be given several times")
     parser.add_argument("--city", help="report: a city")
     parser.add_argument("--state", type=int, help="report: a state")
     args = parser.parse_args(arguments)
@@ -221,7 +234,7 @@ def main(arguments: list[str] | None = None) -> int:
     if args.step == "bronze":
         run_bronze(spark, settings)
     elif args.step == "silver":
-        run_silver(spark, settings, args.partition_by_month)
+        run_silver(spark, settings, args.partition_by_month, args.month)
     elif args.step == "gold":
         for question in [args.question] if args.question else GOLD:
             run_gold(spark, settings, question)

@@ -6,17 +6,58 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchantlake import contract as C
+from merchantlake.sources import publish
+
+#: Formats whose tables are plain folders of files. Others replace their tables by themselves.
+FILE_FORMATS = ("parquet", "orc", "csv", "json", "text")
 
 
 class StorageError(RuntimeError):
     """A layer table could not be opened."""
 
 
+class DataQualityError(ValueError):
+    """A table breaks a quality limit."""
+
+
+class Gate:
+    """A limit for the share of nulls of some columns, counted while a table is written: no scan of its own.
+
+    An empty table passes. Columns the table does not have are an error.
+    """
+
+    def __init__(self, columns: tuple[str, ...] | list[str], limit: float = C.MAX_NULL_RATIO, label: str = ""):
+        self.columns, self.limit, self.label = list(columns), limit, label
+        self._watched: DataFrame | None = None
+        self._seen: Observation | None = None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """``df``, whose rows are counted by the action that comes next."""
+        self._seen = Observation()
+        nulls = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(self.columns)]
+        self._watched = df.observe(self._seen, F.count(F.lit(1)).alias("n"), *nulls)
+        return self._watched
+
+    def count(self) -> None:
+        """Count now, for tables that cannot be judged after they were written."""
+        self._watched.write.format("noop").mode("overwrite").save()
+
+    def ratios(self) -> dict[str, float]:
+        counts = self._seen.get
+        return {c: counts[f"n{i}"] / counts["n"] if counts["n"] else 0.0 for i, c in enumerate(self.columns)}
+
+    def check(self) -> None:
+        bad = {c: r for c, r in self.ratios().items() if r > self.limit}
+        if bad:
+            text = ", ".join(f"column {c} null ratio {r:.4f}" for c, r in bad.items())
+            raise DataQualityError(f"{self.label}: {text} exceeds {self.limit}")
+
+
 def read_transactions(spark: SparkSession, *paths: str) -> DataFrame:
     """Parquet folder, file or glob; several are read as one table by column names. Sub-folders may name a partition."""
     frames = [spark.read.parquet(p) for p in paths]
@@ -47,6 +88,11 @@ def read_merchants(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A layer table; one that a killed run left beside its place is put there first."""
+    if fmt in FILE_FORMATS:
+        folders = publish.Folders(spark)
+        if publish.needs_recovery(folders, path):
+            publish.recover(folders, path)
     try:
         return spark.read.format(fmt).load(path)
     except AnalysisException as failure:
@@ -54,11 +100,52 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def write_table(
-    df: DataFrame, path: str, *, small: bool = False, partition_by: tuple[str, ...] = (), fmt: str = "parquet"
-) -> None:
-    """Replace the table at ``path``. ``small`` results, bounded by their meaning, get one file."""
-    writer = (df.coalesce(1) if small else df).write.mode("overwrite").format(fmt)
-    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    df: DataFrame, path: str, *, small: bool = False, partition_by: tuple[str, ...] = (), fmt: str = "parquet",
+    cluster_by: tuple[str | Column, ...] = (), gate: Gate | None = None,
+) -> None:
+    """Replace the table at ``path``, whole or not at all.
+
+    ``small`` results, bounded by their meaning, get one file. ``cluster_by`` sorts rows into ranges, for readers that filter.
+    ``gate`` is judged on what the write counts as it passes; a table that fails is not published.
+    """
+    if cluster_by:
+        df = publish.clustered(df, cluster_by)
+    if gate:
+        df = gate.watch(df)
+    frame = df.coalesce(1) if small else df
+
+    def write(target: str) -> None:
+        writer = frame.write.mode("overwrite").format(fmt)
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
+
+    if fmt in FILE_FORMATS:
+        publish.replace_table(df.sparkSession, path, write, gate and gate.check)
+    else:
+        # Such a table keeps its versions: it is judged before it is written.
+        if gate:
+            gate.count()
+            gate.check()
+        write(path)
+
+
+def write_partitions(
+    df: DataFrame, path: str, partition_by: tuple[str, ...], *, only: list[dict] | None = None, fmt: str = "parquet",
+    cluster_by: tuple[str | Column, ...] = (), gate: Gate | None = None,
+) -> list[str]:
+    """Replace the partitions that ``df`` has rows of, each whole or not at all, and leave the others alone.
+
+    ``only`` names partitions that ``df`` stands for; those without rows go. Returns the folders that were replaced.
+    """
+    if fmt not in FILE_FORMATS:
+        raise ValueError(f"partitions are replaced one by one in {FILE_FORMATS} only, not in {fmt}")
+    frame = publish.clustered(df, (*partition_by, *cluster_by))
+    frame = gate.watch(frame) if gate else frame
+
+    def write(target: str) -> None:
+        frame.write.mode("overwrite").format(fmt).partitionBy(*partition_by).save(target)
+
+    wanted = None if only is None else [publish.partition_folder(**values) for values in only]
+    return publish.replace_partitions(df.sparkSession, path, len(partition_by), write, wanted, gate and gate.check)
 
 
 def write_report(df: DataFrame, path: str, fmt: str) -> None:
