@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from merchantlake import contract as C
 from merchantlake.functions import columns as X
 from merchantlake.operators.joins import lookup_join
 from merchantlake.operators.reuse import store
+from merchantlake.sources import publish
 from merchantlake.sources.tables import DataQualityError
 
 KEY = "merchant_id"
@@ -99,17 +104,44 @@ def merchant_profile(merchants: DataFrame) -> DataFrame:
     return _rows_of(stats, [(m, F.coalesce(v, F.lit(0))) for m, v in rows], ["metric", "value"])
 
 
-def schema_drift(spark: SparkSession, path: str, by: str = "file") -> DataFrame:
-    """Per file (or ``by`` folder) of one table: rows, columns with a value, and whether these differ from the first's.
+@contextmanager
+def _counts_from_footers(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark answers counts over Parquet from the files' own row counts (aggregate push-down)."""
+    held = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def row_counts(spark: SparkSession, parts: dict[str, list[str]]) -> DataFrame:
+    """(part, n_rows) of parts, each some Parquet files. To be run within ``_counts_from_footers``."""
+    counts = [spark.read.parquet(*files).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("part", F.lit(part)) for part, files in parts.items()]
+    return reduce(DataFrame.unionByName, counts).select("part", "n_rows")
+
+
+def schema_drift(spark: SparkSession, path: str, by: str = "file", at_once: int = 50) -> DataFrame:
+    """Per file (or ``by`` folder) of one table: rows, columns, and whether these differ from those of the first.
 
-    Files are read with their schemas merged, so a column that a file does not have is null in all of its rows there.
+    No data is read: Spark infers each part's schema and counts its rows from footers alone. ``at_once`` parts are counted by one job.
     """
-    merged = spark.read.options(mergeSchema=True, recursiveFileLookup=True).parquet(path)
-    place = F.element_at(F.split("_metadata.file_path", "/"), {"file": -1, "folder": -2}[by])
-    present = F.array_compact(F.array(*[F.when(F.count(c) > 0, F.lit(c)) for c in sorted(merged.columns)]))
-    parts = merged.groupBy(place.alias("part")).agg(F.count(F.lit(1)).alias("n_rows"), present.alias("columns"))
-    first = parts.agg(F.min_by("columns", "part")).scalar()
-    return parts.select("part", "n_rows", F.size("columns").alias("n_columns"), (F.col("columns") != first).alias("differs"))
+    parts: dict[str, list[str]] = {}
+    for file in publish.Folders(spark).files(path):
+        parts.setdefault(file.split("/")[{"file": -1, "folder": -2}[by]], []).append(file)
+    schema = "part string, n_columns int, differs boolean"
+    if not parts:
+        return spark.createDataFrame([], "part string, n_rows bigint, n_columns int, differs boolean")
+    columns = {part: sorted(spark.read.option("mergeSchema", len(files) > 1).parquet(*files).columns) for part, files in sorted(parts.items())}
+    first = next(iter(columns.values()))
+    found = spark.createDataFrame([(part, len(names), names != first) for part, names in columns.items()], schema)
+    names = list(parts)
+    with _counts_from_footers(spark):
+        counts = [store(row_counts(spark, {n: parts[n] for n in names[k : k + at_once]}), "counts") for k in range(0, len(names), at_once)]
+    return found.join(reduce(DataFrame.unionByName, counts), "part").select("part", "n_rows", "n_columns", "differs")
 
 
 def orphan_merchants(transactions: DataFrame, merchants: DataFrame) -> DataFrame:

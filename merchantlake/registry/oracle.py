@@ -548,6 +548,67 @@ ORACLE: dict[str, str] = {
     ),
     "enriched_transactions": _all("silver"),
     "stored_layers_q1": _all("q1"),
+    "bronze_locations": _sql(
+        """
+SELECT installments, count(*) AS n_rows, CAST(sum(CAST(purchase_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_amount,
+       'folder|file|parts' AS layouts, 'folder' AS resolved
+FROM tx WHERE state_id IS NOT NULL GROUP BY installments""",
+        "tx",
+    ),
+    "silver_month_rebuilt": _sql(
+        """
+SELECT CAST(year(purchase_ts) AS INTEGER) AS purchase_year, CAST(month(purchase_ts) AS INTEGER) AS purchase_month,
+       count(*) AS transaction_count,
+       CAST(sum(CAST(amount AS DECIMAL(38,10))
+                + CASE WHEN date_trunc('month', purchase_ts) = (SELECT date_trunc('month', min(purchase_ts)) FROM silver) THEN 1 ELSE 0 END)
+            AS DOUBLE) AS total_amount
+FROM silver GROUP BY 1, 2""",
+        "silver",
+    ),
+    "silver_city_month": _sql(
+        "SELECT * FROM silver WHERE city_id = 14 AND purchase_ts >= DATE '1996-07-01' AND purchase_ts < DATE '1996-08-01'", "silver"
+    ),
+    "dq_gate": _sql(
+        "\nUNION ALL ".join(
+            f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS null_ratio, "
+            f"CAST(count(*) - count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) <= 0.05e0 AS ok FROM silver"
+            for c in ("merchant_id", "amount", "purchase_ts", "city_id", "installments")
+        ),
+        "silver",
+    ),
+    "dq_csv_misfits": _sql(
+        """
+SELECT 'active_months_lag12' AS column_name, 'int' AS declared, count(*) AS n_misfits, 'string' AS kept_as, 'n/a' AS first_misfit
+FROM merchants WHERE active_months_lag12 = 5 HAVING count(*) > 0
+UNION ALL
+SELECT 'active_months_lag6', 'int', count(*), 'double', '2.5' FROM merchants WHERE active_months_lag6 = 2 HAVING count(*) > 0""",
+        "merchants",
+    ),
+    "dq_gold_path": """
+SELECT *, true AS strict_fails FROM (VALUES
+  ('Q2', 'q2_path', 'error'), ('Q3', 'q3_schema', 'error'), ('Q5', 'q5_path', 'error'),
+  ('Q4a', 'q4/city_category_association_path', 'warn'), ('Q4b', 'q4/top_merchants_global_path', 'warn'),
+  ('Q4c', 'q4/top_merchants_distribution_by_city_path', 'warn'), ('Q4+', 'q4/merchant_popularity_by_city_path', 'warn'),
+  ('Q5+', 'q5_advisory_summary_path', 'warn')) t (question, code, severity)""",
+    "q4_merchants_by_month": _sql(
+        "SELECT strftime(purchase_ts, '%Y-%m') AS month, city_id, count(DISTINCT merchant_id) AS distinct_merchants "
+        "FROM silver WHERE merchant_id IS NOT NULL GROUP BY 1, 2",
+        "silver",
+    ),
+    "q4_merchants_by_period": _sql(
+        """
+SELECT CAST(year(purchase_ts) AS VARCHAR) || '-Q' || CAST(quarter(purchase_ts) AS VARCHAR) AS quarter, CAST(NULL AS INTEGER) AS city_id,
+       count(DISTINCT merchant_id) AS distinct_merchants
+FROM silver WHERE merchant_id IS NOT NULL GROUP BY 1
+UNION ALL
+SELECT 'all', city_id, count(DISTINCT merchant_id) FROM silver WHERE merchant_id IS NOT NULL GROUP BY 2""",
+        "silver",
+    ),
+    "q5_transaction_sample": _sql(
+        "SELECT * FROM q5 ORDER BY amount DESC NULLS LAST, merchant_name NULLS FIRST, category NULLS FIRST, city_id NULLS FIRST, "
+        "installments NULLS FIRST LIMIT 500",
+        "q5",
+    ),
     "q1_top_merchants": _all("q1"),
     "q2_avg_by_state": _all("q2"),
     "q3_peak_hours": _all("q3"),

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from merchantlake import contract as C
 from merchantlake.functions import columns as X
 from merchantlake.operators.reuse import new_path, store
-from merchantlake.plans import advisor, cities, gold_checks, quality, questions, reports, silver
-from merchantlake.sources import standin, tables
+from merchantlake.plans import advisor, cities, gold_checks, merchant_sets, quality, questions, reports, silver
+from merchantlake.sources import paths, standin, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 INGESTED_AT = "2024-01-01T00:00:00+00:00"
@@ -82,6 +82,99 @@ def stored_layers_q1(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_table(spark, f"{root}/gold/q1_results")
 
 
+def bronze_locations(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions that lie in three layouts below one folder: all are discovered, and each is read once."""
+    root = new_path(spark, "download")
+    tx, state = _tx(spark, d), F.col("state_id")
+    tx.where(state < 8).write.partitionBy("installments").parquet(f"{root}/{paths.FOLDER}")
+    tx.where((state >= 8) & (state < 16)).write.parquet(f"{root}/{paths.SINGLE_FILE}")
+    tx.where(state >= 16).coalesce(1).write.parquet(f"{root}/raw/part-2.parquet")
+    found = paths.discover_transactions(spark, root)
+    layout = {f"{root}/{p}": name for p, name in ((paths.FOLDER, "folder"), (paths.SINGLE_FILE, "file"), (paths.LOOSE_PARTS, "parts"))}
+    first = paths.resolve_transactions(spark, root)
+    rows = tables.read_transactions(spark, *[p for p in found]).groupBy("installments").agg(
+        F.count(F.lit(1)).alias("n_rows"), X.money_sum(F.col("purchase_amount")).alias("total_amount")
+    )
+    return rows.withColumns({"layouts": F.lit("|".join(layout[p] for p in found)), "resolved": F.lit(layout[first])})
+
+
+MONTH_FOLDERS = ("purchase_year", "purchase_month")
+
+
+def silver_month_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """Silver by month after the first month was rebuilt from corrected transactions, each dearer by one."""
+    path = f"{new_path(spark, 'monthly')}/enriched_transactions"
+    year, month = MONTH_FOLDERS
+    source = _silver(spark, d).withColumns({year: F.year("purchase_ts"), month: F.month("purchase_ts")})
+    tables.write_table(source, path, partition_by=MONTH_FOLDERS, cluster_by=(*MONTH_FOLDERS, "city_id"))
+    stored = tables.read_table(spark, path)
+    first = stored.agg(F.date_format(F.min("purchase_ts"), "yyyy-MM").alias("m")).first().m
+    corrected = silver.of_months(source, [first]).withColumn("amount", F.col("amount") + 1)
+    only = [dict(zip(MONTH_FOLDERS, map(int, first.split("-"))))]
+    tables.write_partitions(corrected, path, MONTH_FOLDERS, only=only, cluster_by=("city_id",), gate=tables.Gate(C.GATED))
+    return (
+        tables.read_table(spark, path)
+        .groupBy(*MONTH_FOLDERS)
+        .agg(F.count(F.lit(1)).alias("transaction_count"), X.money_sum(F.col("amount")).alias("total_amount"))
+    )
+
+
+def silver_city_month(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions of one city and month, from Silver stored in the order of its readers."""
+    path = f"{new_path(spark, 'ordered')}/enriched_transactions"
+    tables.write_table(_silver(spark, d), path, cluster_by=silver.reading_order())
+    return silver.of_months(tables.read_table(spark, path), ["1996-07"]).where("city_id = 14")
+
+
+def dq_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of nulls that the gate of Silver counted while the table was written."""
+    gate = tables.Gate((*C.GATED, "city_id", "installments"), limit=1.0)
+    tables.write_table(_silver(spark, d), f"{new_path(spark, 'gated')}/enriched_transactions", gate=gate)
+    return spark.createDataFrame([(c, r, r <= C.MAX_NULL_RATIO) for c, r in gate.ratios().items()], "column_name string, null_ratio double, ok boolean")
+
+
+def dq_csv_misfits(spark: SparkSession, d: str) -> DataFrame:
+    """Findings about a CSV file of merchants some of whose numbers are none."""
+    path = new_path(spark, "odd-csv")
+    months, size = F.col("active_months_lag12"), F.col("active_months_lag6")
+    odd = _merchants(spark, d).withColumns({
+        "active_months_lag12": F.when(months == 5, F.lit("n/a")).otherwise(months.cast("string")),
+        "active_months_lag6": F.when(size == 2, F.lit("2.5")).otherwise(size.cast("string")),
+    })
+    tables.write_report(odd, path, "csv")
+    return tables.read_csv(spark, path, C.MERCHANTS)[1]
+
+
+def dq_gold_path(spark: SparkSession, d: str) -> DataFrame:
+    """What the check of a Gold folder says where two tables are missing and one lacks a column, and whether a strict run fails."""
+    root = new_path(spark, "gold")
+    frames = gold_frames(spark, d)
+    for key in ("q1", "q3", "q4"):
+        frame = frames[key].drop("Hour") if key == "q3" else frames[key]
+        tables.write_table(frame, f"{root}/{C.GOLD_TABLES[key]}")
+    findings = gold_checks.check_gold_path(spark, root)
+    strict = F.lit(gold_checks.has_errors(findings))
+    return findings.where("not ok").select("question", "code", "severity", strict.alias("strict_fails"))
+
+
+def _merchant_sets(spark: SparkSession, d: str) -> DataFrame:
+    source = _silver(spark, d)
+    return store(merchant_sets.monthly_sets(source, merchant_sets.merchant_numbers(source)), "sets")
+
+
+def q4_merchants_by_month(spark: SparkSession, d: str) -> DataFrame:
+    month = X.month_label(F.col("year"), F.col("month")).alias("month")
+    return merchant_sets.distinct_merchants(_merchant_sets(spark, d), month, F.col("city_id"))
+
+
+def q4_merchants_by_period(spark: SparkSession, d: str) -> DataFrame:
+    """Merchants of each quarter in all cities, and of each city over all time, from the same monthly cells."""
+    sets = _merchant_sets(spark, d)
+    quarters = merchant_sets.distinct_merchants(sets, merchant_sets.quarter()).withColumn("city_id", F.lit(None).cast("int"))
+    of_cities = merchant_sets.distinct_merchants(sets, F.col("city_id")).withColumn("quarter", F.lit("all"))
+    return quarters.unionByName(of_cities).select("quarter", "city_id", "distinct_merchants")
+
+
 def q5_transactions_ev(spark: SparkSession, d: str) -> DataFrame:
     rows = advisor.expected_values(_silver(spark, d))
     return rows.withColumn("assumptions", F.array_join("assumptions", "; "))
@@ -184,6 +277,9 @@ QUERIES: dict[str, Query] = {
     "merchants_duplicates_audit": lambda spark, d: silver.audit_duplicates(_merchants(spark, d)),
     "enriched_transactions": _silver,
     "stored_layers_q1": stored_layers_q1,
+    "bronze_locations": bronze_locations,
+    "silver_month_rebuilt": silver_month_rebuilt,
+    "silver_city_month": silver_city_month,
     # Questions
     "q1_top_merchants": _on_silver(questions.top_merchants),
     "q2_avg_by_state": _on_silver(questions.average_by_state),
@@ -193,7 +289,10 @@ QUERIES: dict[str, Query] = {
     "q4_top_merchants_global": _q4_top,
     "q4_top_merchants_distribution": _q4_distribution,
     "q4_merchant_popularity_by_city": _q4_popularity,
+    "q4_merchants_by_month": q4_merchants_by_month,
+    "q4_merchants_by_period": q4_merchants_by_period,
     "q5_transactions_ev": q5_transactions_ev,
+    "q5_transaction_sample": lambda spark, d: reports.q5_transaction_sample(q5_transactions_ev(spark, d)),
     "q5a_cities": _section(C.SECTION_CITIES),
     "q5b_categories": _section(C.SECTION_CATEGORIES),
     "q5c_months": _section(C.SECTION_MONTHS),
@@ -206,6 +305,9 @@ QUERIES: dict[str, Query] = {
     "monthly_volume": monthly_volume,
     # Data quality
     "dq_null_ratio": lambda spark, d: quality.null_ratios(_tx(spark, d)),
+    "dq_gate": dq_gate,
+    "dq_csv_misfits": dq_csv_misfits,
+    "dq_gold_path": dq_gold_path,
     "dq_profile_numeric": dq_profile_numeric,
     "dq_gold_findings": dq_gold_findings,
     "dq_column_contract": dq_column_contract,

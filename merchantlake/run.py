@@ -59,7 +59,8 @@ def run_bronze(spark: SparkSession, settings: Settings) -> None:
     if not paths.path_exists(spark, settings.merchants):
         raise FileNotFoundError(f"no merchants at {settings.merchants}")
     transactions = tables.read_transactions(spark, source)
-    merchants = tables.read_merchants(spark, settings.merchants)
+    merchants, misfits = tables.read_csv(spark, settings.merchants, C.MERCHANTS)
+    tables.write_report(misfits.coalesce(1), settings.at("bronze", "qa", "merchants_misfits"), "json")
     tables.write_table(tables.with_lineage(transactions, source, by_file=True), settings.at("bronze", "transactions"), fmt=settings.fmt)
     tables.write_table(tables.with_lineage(merchants, settings.merchants), settings.at("bronze", "merchants"), fmt=settings.fmt)
 

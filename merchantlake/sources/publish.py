@@ -43,6 +43,16 @@ class Folders:
             return []
         return sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory())
 
+    def files(self, path: str) -> list[str]:
+        """Paths of the data files below a folder, sorted; names that begin with ``_`` or ``.`` are no data."""
+        system, place = self._at(path)
+        found, listed = [], system.listFiles(place, True)
+        while listed.hasNext():
+            at = listed.next().getPath()
+            if not at.getName().startswith(("_", ".")):
+                found.append(at.toString())
+        return sorted(found)
+
     def rename(self, source: str, target: str) -> None:
         system, place = self._at(source)
         if not system.rename(place, self._fs.Path(target)):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchantlake import contract as C
+from merchantlake.operators.reuse import store
 from merchantlake.sources import publish
 
 #: Formats whose tables are plain folders of files. Others replace their tables by themselves.
@@ -65,26 +66,46 @@ def read_transactions(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def read_merchants(spark: SparkSession, path: str, schema: T.StructType | None = C.MERCHANTS) -> DataFrame:
-    """CSV with a header. Columns are matched by name and typed by ``schema``.
+    """CSV with a header, as ``read_csv`` types it; ``schema=None`` infers."""
+    if schema is None:
+        return _csv(spark).option("inferSchema", True).csv(path)
+    return read_csv(spark, path, schema)[0]
+
+
+def _csv(spark: SparkSession):
+    return spark.read.option("header", True).option("positiveInf", "inf").option("negativeInf", "-inf")
+
 
-    Declared types make ``inf`` a number. A column with a value that its type cannot hold is
-    widened, from whole numbers to doubles or else to text: one pass counts misfits, and no
-    value is lost. Columns the schema does not know are kept as text. ``schema=None`` infers.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """A CSV table, and findings about values that do not fit its schema. The file is read once.
+
+    Columns are matched by name and typed by ``schema``; declared types make ``inf`` a number. The pass that reads the file
+    stores every value as it is and counts, beside it, the values that a declared type cannot hold. A column with such
+    values is widened, from whole numbers to doubles or else to text, when the stored rows are read: no value is lost.
+    Columns the schema does not know are text. Findings: column_name, declared, n_misfits, kept_as and first_misfit.
     """
-    csv = spark.read.option("header", True).option("positiveInf", "inf").option("negativeInf", "-inf")
-    if schema is None:
-        return csv.option("inferSchema", True).csv(path)
-    text = csv.csv(path)
+    text = _csv(spark).csv(path)
     declared = {f.name: f.dataType for f in schema.fields if f.name in text.columns and f.dataType != T.StringType()}
-    if not declared:
-        return text
-
-    def misfits(column: str, kind: T.DataType | str) -> Column:
-        return F.count_if(F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull())
 
-    counts = text.agg(*[F.struct(misfits(c, k).alias("declared"), misfits(c, "double").alias("double")).alias(c) for c, k in declared.items()]).first()
-    kinds = {c: k if not counts[c].declared else T.DoubleType() if not counts[c].double else T.StringType() for c, k in declared.items()}
-    return text.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+    def misfit(column: str, kind: T.DataType | str) -> Column:
+        return F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()
+
+    seen = Observation()
+    if declared:
+        counts = {f"{what}{i}": F.count_if(misfit(c, kind)) for i, (c, k) in enumerate(declared.items()) for what, kind in (("declared", k), ("double", "double"))}
+        firsts = {f"first{i}": F.min(F.when(misfit(c, k), F.col(c))) for i, (c, k) in enumerate(declared.items())}
+        text = text.observe(seen, *[x.alias(name) for name, x in {**counts, **firsts}.items()])
+    stored = store(text, "csv")
+    found = seen.get if declared else {}
+    kinds, findings = {}, []
+    for i, (c, kind) in enumerate(declared.items()):
+        if found[f"declared{i}"]:
+            kinds[c] = T.StringType() if found[f"double{i}"] else T.DoubleType()
+            findings.append((c, kind.simpleString(), found[f"declared{i}"], kinds[c].simpleString(), found[f"first{i}"]))
+        else:
+            kinds[c] = kind
+    typed = stored.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()}) if kinds else stored
+    return typed, spark.createDataFrame(findings, "column_name string, declared string, n_misfits bigint, kept_as string, first_misfit string")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

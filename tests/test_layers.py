@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from merchantlake import contract as C
 from merchantlake import run
+from merchantlake.operators.reuse import store
 from merchantlake.sources import paths, standin, tables
 
 
@@ -92,6 +93,18 @@ def test_values_that_do_not_fit_their_type_are_kept(spark, tmp_path):
     assert [tuple(r)[1:] for r in df.orderBy("merchant_id").collect()] == [(12.0, 7, "1.5", None), (3.5, 8, "oops", 4)]
 
 
+def test_a_csv_file_is_read_once_and_its_misfits_are_findings(spark, tmp_path, rows, monkeypatch):
+    lines = ["merchant_id,active_months_lag12,city_id,avg_sales_lag3", *[f"m{k},{k},{k},{k}.5" for k in range(50)], "b,3.5,8,oops", "c,,x,1", 'd,4,"7, 8",oops']
+    (tmp_path / "m.csv").write_text("\n".join(lines))
+    stored = []
+    monkeypatch.setattr(tables, "store", lambda df, name: stored.append(df._jdf.queryExecution().executedPlan().toString()) or store(df, name))
+    df, findings = tables.read_csv(spark, str(tmp_path / "m.csv"), C.MERCHANTS)
+    assert rows(findings) == [("active_months_lag12", "int", 1, "double", "3.5"), ("avg_sales_lag3", "double", 2, "string", "oops"), ("city_id", "int", 2, "string", "7, 8")]
+    assert df.count() == 53 and "csv" not in df._jdf.queryExecution().executedPlan().toString().lower().replace("/csv-", "")
+    assert len(stored) == 1 and stored[0].count("FileScan csv") == 1
+    assert tuple(df.where("merchant_id = 'b'").first()) == ("b", 3.5, "8", "oops")
+
+
 def test_lineage_can_name_the_file_of_each_row(spark, tmp_path):
     spark.range(6).repartition(3).write.parquet(f"{tmp_path}/t")
     origins = tables.with_lineage(tables.read_table(spark, f"{tmp_path}/t"), "t", by_file=True).select("_bronze_source").distinct().collect()

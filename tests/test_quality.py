@@ -92,7 +92,20 @@ def test_schema_drift(spark, tmp_path, rows):
     ]
     spark.range(4).write.parquet(f"{tmp_path}/deep/a")
     spark.range(5).withColumn("z", F.lit(None).cast("int")).repartition(3).write.parquet(f"{tmp_path}/deep/b")
-    assert rows(quality.schema_drift(spark, f"{tmp_path}/deep", by="folder")) == [("a", 4, 1, False), ("b", 5, 1, False)]
+    assert rows(quality.schema_drift(spark, f"{tmp_path}/deep", by="folder")) == [("a", 4, 1, False), ("b", 5, 2, True)]  # a column of nulls is a column
+    assert rows(quality.schema_drift(spark, f"{tmp_path}/deep", by="file", at_once=2).groupBy("n_columns").agg(F.sum("n_rows"))) == [(1, 4), (2, 5)]
+    (tmp_path / "none").mkdir()
+    assert quality.schema_drift(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_rows_are_counted_from_footers(spark, tmp_path):
+    spark.range(100).withColumn("x", F.lit(1)).write.parquet(f"{tmp_path}/t")
+    with quality._counts_from_footers(spark):
+        counts = quality.row_counts(spark, {"t": [f"{tmp_path}/t"]})
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert counts.collect()[0].n_rows == 100
+    assert "PushedAggregation: [COUNT(*)]" in plan and "ReadSchema: struct<count(*):bigint>" in plan
+    assert "BatchScan" not in spark.read.parquet(f"{tmp_path}/t")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_a_finding_about_hours_needs_the_column(spark, gold):
