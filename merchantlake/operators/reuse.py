@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class NoSharedFolderError(RuntimeError):
     """Executors and driver have no folder in common that a result could be stored in."""
@@ -37,12 +41,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark removes the shuffle files of an execution when it ends. What was stored makes them useless."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def store(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write ``df`` once to the shared folder and read it from there.
 
     Later plans neither compute it again nor depend on the executors that made it,
     and read only the columns they need.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
