@@ -32,7 +32,7 @@ from merchantlake.llm.interleave import later_windows
 LENGTH = 100
 GRAM = 20
 #: Bytes handled at once; their positions fit the low bits of an anchor's sort key.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 POSITION_BITS = 22
 LAST_ID = (1 << 63) - 1
 #: Contexts of one anchor that are merged in one task, and bytes merged at once.
