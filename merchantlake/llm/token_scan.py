@@ -12,6 +12,7 @@ reported as such. Text that spells a special token is ordinary text. Other colum
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from uuid import uuid4
@@ -27,7 +28,10 @@ from merchantlake.llm.remote import locate
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # The identifier that the vocabulary leaves free for ends of documents, and its pattern of pre-tokens.
 END_OF_DOCUMENT = 50256
+SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space from which on the pattern is not asked.
+LONG_SPACE = re.compile(f"[{SPACES}]{{1000,}}")
 WIDTH = np.dtype("<u2")
 BLOCK_TOKENS = 1 << 20
 TEXT_AT_ONCE = 1 << 22
@@ -42,6 +46,21 @@ def _encoder(vocabulary: str):
     return tiktoken.Encoding("documents", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_ids(encoder, text: str) -> list[int]:
+    """As the encoder gives them, also for white space too long for its pattern.
+
+    A run of white space is a pre-token of its own but for its last character, which goes with what follows; at the end of a text it
+    is one as a whole. So a text can be cut there, and the run be merged without the pattern.
+    """
+    ids, begin = [], 0
+    for run in LONG_SPACE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoder.encode_ordinary(text[begin : run.start()])
+        ids += encoder._encode_single_piece(text[run.start() : end])
+        begin = end
+    return ids + encoder.encode_ordinary(text[begin:] if begin else text)
+
+
 def _write(folder: str, vocabulary: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, inside = locate(f"{folder}/{uuid4().hex}.bin")
@@ -53,7 +72,7 @@ def _write(folder: str, vocabulary: str):
                 texts = batch["text"].tolist()
                 for begin, end in batches_of_bytes(texts, TEXT_AT_ONCE):
                     for text in texts[begin:end]:
-                        out.write(np.array([*encoder.encode_ordinary(text or ""), END_OF_DOCUMENT], dtype=WIDTH).tobytes())
+                        out.write(np.array([*token_ids(encoder, text or ""), END_OF_DOCUMENT], dtype=WIDTH).tobytes())
                 numbers = np.arange(ordinal, ordinal + len(batch))
                 ordinal += len(batch)
                 yield pd.DataFrame({"file": inside.rsplit("/", 1)[1], "ordinal": numbers, "doc_id": batch["doc_id"]})

@@ -39,3 +39,26 @@ def test_documents_are_stitched_across_blocks(spark, tmp_path, block):
 
 def test_no_documents(no_documents):
     assert S.token_counts(no_documents).count() == 0
+
+
+def test_long_runs_of_one_character(spark):
+    """White space far beyond what the pattern can search, and letters without an end."""
+    long = 10**6
+    texts = [" " * long + "x", "\n" * long, "a" * long, "x" + "\t" * 5000 + " y" + " " * 3000, "b\u00a0" * 10 + "\u2003" * 4000 + "é"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = dict(map(tuple, S.token_counts(docs).select("doc_id", "n_tokens").collect()))
+    encoder = S._encoder(S.VOCABULARY)
+    piece = lambda t: len(encoder._encode_single_piece(t))
+    assert found[0] == piece(" " * (long - 1)) + len(encoder.encode_ordinary(" x"))
+    assert found[1] == piece("\n" * long) and found[2] == piece("a" * long)
+
+
+def test_cut_texts_have_the_same_tokens(monkeypatch):
+    """With runs short enough for the pattern to take them too."""
+    import re
+
+    monkeypatch.setattr(S, "LONG_SPACE", re.compile(f"[{S.SPACES}]{{3,}}"))
+    encoder, r = S._encoder(S.VOCABULARY), random.Random(4)
+    for _ in range(500):
+        text = "".join(r.choice(["a", "'s", "12", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\u2003", "\u3000", "!", "é", " b"]) for _ in range(r.randrange(40)))
+        assert S.token_ids(encoder, text) == encoder.encode_ordinary(text), repr(text)
