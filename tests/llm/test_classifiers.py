@@ -163,3 +163,29 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark):
     sample = labelled_sample(docs, marks, "toxic", 100).collect()
     known = docs.where(~held_out(F.col("doc_id"))).select("doc_id").distinct().count()
     assert len(sample) == len({x.text for x in sample}) == known
+
+
+def test_toxicity_fit_equals_a_plain_one(monkeypatch):
+    """Ratios, loss and slope on a dense matrix, with entries worked on in small portions."""
+    monkeypatch.setattr(T, "ENTRIES_AT_ONCE", 50)
+    rng = np.random.default_rng(3)
+    y = (rng.random(60) < 0.4).astype(float)
+    dense = rng.random((60, 30)) < 0.3
+    sample = T.Sample(y, [np.flatnonzero(row).astype(np.int32) for row in dense])
+    p, q = 1 + dense[y > 0].sum(axis=0), 1 + dense[y == 0].sum(axis=0)
+    ratio = np.log((p / (y.sum() + 1)) / (q / ((1 - y).sum() + 1)))
+    assert np.allclose(T.log_ratios(sample, 30), ratio)
+    loss, x = T.loss_of(sample, ratio), rng.normal(size=31)
+
+    def plain(x):
+        z = (dense * ratio) @ x[:-1] + x[-1]
+        return (np.log1p(np.exp(z)) - y * z).sum() + 0.5 * x[:-1] @ x[:-1]
+
+    value, slope = loss(x)
+    assert value == pytest.approx(plain(x))
+    steps = np.eye(31) * 1e-6
+    assert np.allclose(slope, [(plain(x + s) - plain(x - s)) / 2e-6 for s in steps], atol=1e-4)
+    number = np.where(np.arange(30) % 3 == 0, -1, np.cumsum(np.arange(30) % 3 != 0) - 1).astype(np.int32)
+    sample.keep(number)
+    left = dense[:, np.arange(30) % 3 != 0]
+    assert np.allclose(sample.added(y, left.shape[1]), left[y > 0].sum(axis=0)) and np.allclose(sample.gathered(np.ones(left.shape[1])), left.sum(axis=1))
