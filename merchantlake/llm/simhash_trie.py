@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchantlake.llm.common import LOWER, UPPER, batches_of_bytes, store
@@ -351,12 +351,14 @@ def _sketches(shingle: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
-            nodes, keys = [np.empty(0, dtype=np.int64)], []
+            nodes, sizes, keys = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)], []
             for b, e in batches_of_bytes(texts, TEXT_AT_ONCE):
                 sets = _shingle_sets(texts[b:e], shingle)
                 nodes.append(_digests(*sets))
+                sizes.append(sets[1])
                 keys += _bands(*sets)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "node": np.concatenate(nodes), "keys": keys})
+            ids = batch[["doc_id", "th"]].reset_index(drop=True)
+            yield ids.assign(node=np.concatenate(nodes), n=np.concatenate(sizes), keys=keys)
 
     return run
 
@@ -405,24 +407,34 @@ def _similar_pairs(pairs: DataFrame, given: DataFrame, shingle: int, similarity:
     return store(met.mapInPandas(_verified(shingle, similarity), "a bigint, b bigint"), "similar")
 
 
+def _may_share(n: Column, m: Column, similarity: float) -> Column:
+    """Sets of these sizes can be so similar: the smaller one has that share of the larger at least."""
+    return F.least(n, m) >= F.greatest(n, m) * similarity
+
+
 def similar_links(folded: DataFrame, given: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links (a, b) that connect all candidates that are similar, from distinct (node, keys); both inputs are read again.
+    """Links (a, b) that connect all candidates that are similar, from distinct (node, n, keys); both inputs are read again.
 
     In every band's group each node is held against the smallest first. Only groups that this leaves in several components
-    have more candidates: the nodes apart from the smallest node's component, with those of other components.
+    have more candidates: the nodes apart from the smallest node's component, with those of other components. Sets whose
+    sizes are too different cannot be similar and are no candidates.
     """
-    keyed = folded.select("node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last")
-    members = store(keyed.join(shared.drop("last"), "key"), "members")
-    first = store(members.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "candidates")
+    keyed = folded.select("node", "n", F.explode("keys").alias("key"))
+    head = F.min(F.struct("node", "n")).alias("head")
+    shared = keyed.groupBy("key").agg(head, F.max("node").alias("last")).where("head.node != last")
+    shared = shared.select("key", F.col("head.node").alias("head"), F.col("head.n").alias("head_n"))
+    members = store(keyed.join(shared, "key"), "members")
+    near = members.where((F.col("node") != F.col("head")) & _may_share(F.col("n"), F.col("head_n"), similarity))
+    first = store(near.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "candidates")
     links = _similar_pairs(first, given, shingle, similarity)
     roots = store(components(links), "first-roots")
     named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     of_heads = roots.select(F.col("node").alias("head"), F.col("root").alias("head_root"))
     named = named.join(of_heads, "head", "left").withColumn("head_root", F.coalesce("head_root", "head"))
-    named = store(named.select("key", "node", "head", "root", "head_root"), "named-members")
-    apart = named.where("root != head_root").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"))
-    met = apart.join(named.where("node != head"), "key").where("x_root != root")
+    named = store(named.select("key", "node", "n", "head", "root", "head_root"), "named-members")
+    apart = named.where("root != head_root").select("key", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("root").alias("x_root"))
+    others = named.where("node != head").select("key", "node", "n", "root")
+    met = apart.join(others, "key").where((F.col("x_root") != F.col("root")) & _may_share(F.col("n"), F.col("x_n"), similarity))
     more = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     second = store(more.join(first, ["a", "b"], "left_anti"), "more-candidates")
     return links.unionByName(_similar_pairs(second, given, shingle, similarity))
@@ -431,24 +443,27 @@ def similar_links(folded: DataFrame, given: DataFrame, shingle: int, similarity:
 def similar_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """doc_id, component_id over links between texts that share at least ``similarity`` of their shingles."""
+    """doc_id, th (the text's hash), component_id over links between texts that share at least ``similarity`` of their shingles."""
     given = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    found = given.mapInPandas(_sketches(shingle), "doc_id string, node bigint, keys array<bigint>")
+    hashed = given.withColumn("th", F.xxhash64("text"))
+    found = hashed.mapInPandas(_sketches(shingle), "doc_id string, th bigint, node bigint, n bigint, keys array<bigint>")
     rows = store(found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType)), "sketches")
-    folded = store(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys")), "folded")
+    folded = store(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys")), "folded")
     named = _component_names(folded.select("node", "least"), similar_links(folded, given, shingle, similarity))
-    return rows.join(named, "node", "left").select("doc_id", "component_id")
+    return rows.join(named, "node", "left").select("doc_id", "th", "component_id")
 
 
 def near_duplicates_removed(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """The rows of ``docs`` whose id names their component of similar texts; of rows equal in id and text one stays.
+    """The rows of ``docs`` whose id names the component of their text; of rows equal in id and text one stays.
 
     A component without any id keeps one of its rows for each text.
     """
     named = similar_components(docs, doc_id, text, shingle, similarity)
-    kept = store(named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "kept-ids")
+    names = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = store(named.where(names).select("doc_id", "th").distinct(), "kept")
+    # An id can also be that of a text in another component: a row stays for its text.
     rows, ids = docs.alias("d"), kept.alias("k")
-    staying = rows.join(ids, F.col(f"d.`{doc_id}`").eqNullSafe(F.col("k.doc_id")), "left_semi")
-    return staying.dropDuplicates([doc_id, text])
+    same = F.col(f"d.`{doc_id}`").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64(F.col(f"d.`{text}`").cast("string")) == F.col("k.th"))
+    return rows.join(ids, same, "left_semi").dropDuplicates([doc_id, text])

@@ -193,3 +193,10 @@ def test_similar_families_equal_brute_force(spark):
                 label = [new if x == old else x for x in label]
     got = {x.doc_id: x.component_id for x in S.similar_components(spark.createDataFrame(given, "doc_id bigint, text string")).collect()}
     assert [got[k] for k in range(len(given))] == label
+
+
+def test_an_id_of_texts_in_two_components_keeps_only_the_one_it_names(spark):
+    base, other = prose(1, 60), prose(2, 60)
+    docs = spark.createDataFrame([(3, base), (6, other), (6, base + " word"), (7, other + " more")], "doc_id bigint, text string")
+    kept = S.near_duplicates_removed(docs)
+    assert sorted(map(tuple, kept.collect())) == [(3, base), (6, other)]
