@@ -6,6 +6,10 @@ stood for has to map one to one from an item to a document within an alignment,
 numbers or names is found, and text that only looks alike is not. Each window is looked up without regard to case, too:
 with its names as words and, where most of it is numbers, with these as they are.
 
+Few places of a document can begin a window of the benchmark: each of the benchmark's windows has two tokens, its anchors, that every
+match of it holds as they are, and windows are made where two tokens that anchor any window are close enough. This leaves
+out no match. A benchmark with more anchors than a plan should hold is looked up at every place.
+
 Defined results: a null or empty text has no tokens. In scripts without spaces each character is a token. Items with no
 more tokens than a window have windows of one token less; items below ``MIN_TOKENS`` match by all their tokens as they are,
 and an item of one token cannot be told from chance and matches nothing. Null ids take part like others. Rows
@@ -31,6 +35,8 @@ MIN_SHARE = 0.5
 MIN_COVERED = 25
 #: The benchmark's windows are sent to every task when there are no more than this; else both sides are shuffled.
 MAX_BROADCAST_WINDOWS = 500_000
+#: Different tokens that anchor the benchmark's windows, up to which they are written into the plan.
+MAX_ANCHORS = 20_000
 
 # What a token is, which tokens end a sentence, and units of measure and money.
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
@@ -68,60 +74,113 @@ def _tagged(tokens: Column) -> Column:
 TEMPLATE, CASELESS = 1, 2
 
 
-def _windows(size: int) -> Column:
-    """All windows of ``size`` tokens: place, hash, values of the slots, and form (``TEMPLATE``, ``CASELESS`` or their sum)."""
-    n = F.size("template")
+def _hashed(words: str):
+    """A token's hash with all kinds but ``words`` as placeholders."""
+    return lambda t: F.xxhash64(F.when(t["k"].isin(*words), t["v"]).otherwise(F.concat(F.lit("<"), t["k"], F.lit(">"))))
+
+
+def _kept(words: str):
+    """A token's value where it is a placeholder."""
+    return lambda t: F.when(~t["k"].isin(*words), t["v"])
+
+
+def _windows(starts: Column, size: int) -> Column:
+    """Windows of ``size`` tokens of ``t`` at some places: place, hash, values of the slots, and form (``TEMPLATE``, ``CASELESS`` or both)."""
+
+    def window(w: Column, tokens: Column, values: Column, form: Column) -> Column:
+        return F.struct(w["i"].alias("at"), F.lit(size).alias("size"), F.xxhash64(F.lit(size), tokens).alias("hash"), values.alias("values"), form.alias("form"))
 
-    def window(i: Column, tokens: str, values: Column, form: Column) -> Column:
-        return F.struct(
-            i.alias("at"), F.lit(size).alias("size"), F.xxhash64(F.lit(size), F.slice(tokens, i, size)).alias("hash"),
-            values.alias("values"), form.alias("form"),
-        )
+    def few(values: Column) -> Column:
+        return (F.size(values) <= size * MAX_SLOT_SHARE) & F.lit(size >= MIN_TOKENS)
 
-    def of(i: Column) -> Column:
-        slots = F.array_compact(F.slice("slots", i, size))
-        few = lambda values: (F.size(values) <= size * MAX_SLOT_SHARE) & F.lit(size >= MIN_TOKENS)
-        return F.struct(i.alias("i"), slots.alias("slots"), F.array_compact(F.slice("numbers", i, size)).alias("numbers"), few(slots).alias("few"))
+    def of(w: Column) -> Column:
+        slots = F.array_compact(F.transform(w["w"], _kept("w")))
+        numbers = F.array_compact(F.transform(w["w"], _kept("wp")))
+        return F.struct(w["i"].alias("i"), w["w"].alias("w"), slots.alias("slots"), numbers.alias("numbers"))
 
     def caseless(w: Column) -> Column:
-        few = (F.size(w["numbers"]) <= size * MAX_SLOT_SHARE) & F.lit(size >= MIN_TOKENS)
-        both = w["few"] & (F.size(w["slots"]) == F.size(w["numbers"]))
-        as_words = window(w["i"], "caseless", w["numbers"], F.when(both, TEMPLATE + CASELESS).otherwise(CASELESS))
-        return F.when(few, as_words).otherwise(window(w["i"], "literal", F.slice(w["numbers"], 1, 0), F.lit(CASELESS)))
+        both = few(w["slots"]) & (F.size(w["slots"]) == F.size(w["numbers"]))
+        as_words = window(w, F.transform(w["w"], _hashed("wp")), w["numbers"], F.when(both, TEMPLATE + CASELESS).otherwise(CASELESS))
+        literal = window(w, F.transform(w["w"], lambda t: F.xxhash64(t["v"])), F.slice(w["numbers"], 1, 0), F.lit(CASELESS))
+        return F.when(few(w["numbers"]), as_words).otherwise(literal)
 
-    every = F.transform(F.sequence(F.lit(1), n - size + 1), of)
-    named = F.filter(every, lambda w: w["few"] & (F.size(w["slots"]) > F.size(w["numbers"])))
-    with_names = F.transform(named, lambda w: window(w["i"], "template", w["slots"], F.lit(TEMPLATE)))
-    return F.when(n >= size, F.concat(F.transform(every, caseless), with_names))
+    def with_names(w: Column) -> Column:
+        named = few(w["slots"]) & (F.size(w["slots"]) > F.size(w["numbers"]))
+        return F.when(named, window(w, F.transform(w["w"], _hashed("w")), w["slots"], F.lit(TEMPLATE)))
 
+    cut = F.transform(starts, lambda i: F.struct(i.alias("i"), F.slice("t", i, size).alias("w")))
+    return F.flatten(F.transform(F.transform(cut, of), lambda w: F.array_compact(F.array(caseless(w), with_names(w)))))
 
-def templates(texts: DataFrame, *keys: str) -> DataFrame:
-    """``keys`` and, from ``text``, hashes and values of its tokens.
 
-    template, caseless, literal: hashes of the tokens with numbers, units and names as placeholders, without names as such,
-    and as they are. slots, numbers: values of the placeholders of the first two, null where a word stands.
+def _everywhere(size: int) -> Column:
+    """All places of ``t`` where a window of ``size`` tokens can begin."""
+    n = F.size("t")
+    return F.when(n >= size, F.sequence(F.lit(1), n - size + 1))
+
+
+def _listed(shaped: DataFrame, keys: list[str], windows: Column, names: list[str]) -> DataFrame:
+    """A row for each window. The outer form keeps Spark from testing the windows' number in a filter before: such a filter is
+    moved below the tokens, is computed from the text once more, and for each token again.
     """
+    return shaped.select(*keys, F.inline_outer(windows)).toDF(*keys, *names).where("hash is not null")
+
+
+def tagged(texts: DataFrame, *keys: str) -> DataFrame:
+    """``keys`` and, from ``text``, its tokens ``t`` in lower case with their kinds."""
     found = texts.select(*keys, F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("tokens"))
-    tagged = found.select(*keys, "tokens", _tagged(F.col("tokens")).alias("t"))
-    hashed = lambda words: lambda t: F.xxhash64(F.when(t["k"].isin(*words), t["v"]).otherwise(F.concat(F.lit("<"), t["k"], F.lit(">"))))
-    kept = lambda words: lambda t: F.when(~t["k"].isin(*words), t["v"])
-    return tagged.select(
-        *keys, F.transform("t", hashed("w")).alias("template"), F.transform("t", hashed("wp")).alias("caseless"),
-        F.transform("t", lambda t: F.xxhash64(t["v"])).alias("literal"),
-        F.transform("t", kept("w")).alias("slots"), F.transform("t", kept("wp")).alias("numbers"),
-    )
+    return found.select(*keys, _tagged(F.col("tokens")).alias("t"))
 
 
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """item, n_tokens, at, size, hash, values, form of every window of every item."""
     named = items.select(F.col(f"`{item_id}`").alias("item"), text_of(F.col(f"`{text}`")).alias("text"))
-    shaped = templates(named, "item").withColumn("n_tokens", F.size("template"))
+    shaped = tagged(named, "item").withColumn("n_tokens", F.size("t"))
+
+    def of_size(size: int) -> Column:
+        windows = _windows(_everywhere(size), size)
+        return F.transform(windows, lambda w: F.struct(w["at"], w["size"], w["hash"], w["values"], w["form"], _anchors(F.slice("t", w["at"], size)).alias("anchors")))
+
     # A short item has windows of one token less, one case for each length: its first word begins a sentence, and would be
     # a name where a document goes on without one.
-    cases = F.when(F.col("n_tokens") > window, _windows(window))
+    cases = F.when(F.col("n_tokens") > window, of_size(window))
     for n in range(LEAST_TOKENS, window + 1):
-        cases = cases.when(F.col("n_tokens") == n, _windows(n if n < MIN_TOKENS else max(MIN_TOKENS, n - 1)))
-    return shaped.select("item", "n_tokens", F.inline(cases))
+        cases = cases.when(F.col("n_tokens") == n, of_size(n if n < MIN_TOKENS else max(MIN_TOKENS, n - 1)))
+    return _listed(shaped, ["item", "n_tokens"], cases, ["at", "size", "hash", "values", "form", "anchors"])
+
+
+def _anchors(window: Column) -> Column:
+    """Two tokens of a window that stand as they are in each of its forms: words, else words and names, else any; long ones are rare."""
+    plain, words = F.filter(window, lambda t: t["k"] == "w"), F.filter(window, lambda t: t["k"].isin("w", "p"))
+    from_ = F.when(F.size(plain) > 1, plain).when(F.size(words) > 1, words).otherwise(window)
+    longest = F.sort_array(F.transform(from_, lambda t: F.struct((-F.length(t["v"])).alias("n"), t["v"].alias("v"))))
+    return F.transform(F.slice(longest, 1, 2), lambda t: t["v"])
+
+
+def _near(hits: Column, size: int) -> Column:
+    """Places of windows that hold two neighbouring hits."""
+
+    def between(j: Column) -> Column:
+        a, b = F.get(hits, j - 1), F.get(hits, j)
+        return F.when(b - a < size, F.sequence(F.greatest(F.lit(1), b - size + 1), F.least(a, F.size("t") - size + 1)))
+
+    pairs = F.transform(F.sequence(F.lit(1), F.size(hits) - 1), between)
+    return F.when(F.size("t") >= size, F.array_distinct(F.flatten(F.array_compact(pairs))))
+
+
+def document_windows(keyed: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
+    """doc, th, at, size, hash, values, form of the windows of documents that can match any of the known ones."""
+    shaped = tagged(keyed, "doc", "th")
+    anchors = known.select(F.explode("anchors").alias("v")).distinct()
+    few = anchors.limit(MAX_ANCHORS + 1).collect()
+    if len(few) > MAX_ANCHORS:
+        places = {s: _everywhere(s) for s in sizes}
+    else:
+        values = [r.v for r in few]
+        hit = F.transform("t", lambda x, i: F.when(x["v"].isin(values), i + 1))
+        shaped = shaped.select("doc", "th", "t", F.array_compact(hit).alias("hits"))
+        places = {s: F.when(F.size("hits") > 1, _near(F.col("hits"), s)) for s in sizes}
+    windows = F.flatten(F.array_compact(F.array(*[_windows(places[s], s) for s in sizes])))
+    return _listed(shaped, ["doc", "th"], windows, ["at", "size", "hash", "values", "form"])
 
 
 def _covered(starts: Column) -> Column:
@@ -144,9 +203,7 @@ def matches(keyed: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFra
     sizes = [r[0] for r in known.select("size").distinct().collect()]  # at most one for each window length
     if not sizes:
         sizes = [window]
-    shaped = templates(keyed, "doc", "th")
-    all_windows = F.flatten(F.array_compact(F.array(*[_windows(s) for s in sorted(sizes)])))
-    of_docs = shaped.select("doc", "th", F.inline(all_windows)).alias("d")
+    of_docs = document_windows(keyed, known, sorted(sizes)).alias("d")
     small = known.count() <= MAX_BROADCAST_WINDOWS
     of_items = (F.broadcast(known) if small else known).alias("b")
     met = of_docs.join(of_items, (F.col("d.hash") == F.col("b.hash")) & (F.col("d.size") == F.col("b.size")))

@@ -34,9 +34,10 @@ def benchmark(spark):
     return spark.createDataFrame(ITEMS, "item_id int, text string").withColumn("hash", F.lit("x"))
 
 
-@pytest.mark.parametrize("limit", [D.MAX_BROADCAST_WINDOWS, 0])
-def test_finds_items_and_leaves_the_rest(spark, benchmark, monkeypatch, limit):
+@pytest.mark.parametrize("limit, anchors", [(D.MAX_BROADCAST_WINDOWS, D.MAX_ANCHORS), (0, D.MAX_ANCHORS), (D.MAX_BROADCAST_WINDOWS, 1)])
+def test_finds_items_and_leaves_the_rest(spark, benchmark, monkeypatch, limit, anchors):
     monkeypatch.setattr(D, "MAX_BROADCAST_WINDOWS", limit)
+    monkeypatch.setattr(D, "MAX_ANCHORS", anchors)
     docs = spark.createDataFrame([d[:2] for d in DOCS], "doc_id bigint, text string")
     got = {x.doc_id: x for x in D.contaminated(docs, benchmark).collect()}
     assert {k: x["items"] for k, x in got.items()} == {d: items for d, _, items, _ in DOCS}
@@ -91,3 +92,21 @@ def test_names_in_another_case(spark):
     assert found(spark, [SAME, german], docs) == [[0], [0], [1], [1], [0], []]
     other = SAME.lower().replace("60", "75").replace("after 5", "after 9")
     assert found(spark, [SAME], [other]) == [[0]]
+
+
+def test_a_text_is_cut_into_tokens_once(spark, benchmark):
+    """A filter on the windows, moved below the tokens, would do it again for each token: time would grow with the square of a length."""
+    docs = spark.createDataFrame([(1, 1, "x")], "doc bigint, th bigint, text string")
+    plan = D.document_windows(docs, D.item_windows(benchmark), [10])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_windows_at_anchors_hold_every_match(spark, benchmark):
+    """The windows made near anchors are those of all places that meet the benchmark."""
+    keyed = spark.createDataFrame([(d[0], 0, d[1]) for d in DOCS], "doc bigint, th bigint, text string")
+    known = D.item_windows(benchmark)
+    sizes = sorted(r[0] for r in known.select("size").distinct().collect())
+    every = D.tagged(keyed, "doc", "th").select("doc", "th", F.inline_outer(F.flatten(F.array_compact(F.array(*[D._windows(D._everywhere(s), s) for s in sizes])))))
+    few = D.document_windows(keyed, known, sizes)
+    met = lambda df: sorted(map(tuple, df.where("hash is not null").join(known.select("hash", "size").distinct(), ["hash", "size"]).select("doc", "at", "size", "hash").collect()))
+    assert met(few) == met(every) != [] and few.count() < every.count()
