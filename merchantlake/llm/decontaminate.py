@@ -13,7 +13,7 @@ out no match. A benchmark with more anchors than a plan should hold is looked up
 Defined results: a null or empty text has no tokens. In scripts without spaces each character is a token. Items with no
 more tokens than a window have windows of one token less; items below ``MIN_TOKENS`` match by all their tokens as they are,
 and an item of one token cannot be told from chance and matches nothing. Null ids take part like others. Rows
-equal in id and text get one result each. An empty table, or an empty benchmark, gives a result without matches. Other
+equal in id and text get one result each. Texts of any length are cut whole. An empty table, or an empty benchmark, gives a result without matches. Other
 columns of the input are not read.
 """
 

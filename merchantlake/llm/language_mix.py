@@ -6,7 +6,8 @@ the largest proportions, are fitted again, and the set with the best likelihood
 of every size up to all languages take part, except where no set of that size could do better.
 
 Defined results: a text that is null or has no letters is ``und`` with score 1. Null ids count as held out and are never
-learnt from, as are rows without a language. Repeated rows get equal results. An empty table gives an empty result; with
+learnt from, as are rows without a language. Repeated rows get equal results. Texts of any length are read whole, in portions;
+letters too few for an n-gram say nothing, and equal likelihoods give the first language. An empty table gives an empty result; with
 nothing to learn from, every text is ``und`` with score 0. Language, source and id are never part of a prediction.
 """
 

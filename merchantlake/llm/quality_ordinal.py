@@ -5,7 +5,7 @@ exceeds k is logistic(score - threshold k). It gives the expected grade, and the
 selected.
 
 Defined results: null and empty texts score zero before the thresholds. Null ids count as held out and are never learnt
-from. Repeated rows get equal results. An empty table gives an empty result. With fewer than two grades in the sample
+from. Repeated rows get equal results. Texts of any length are read whole, in portions. An empty table gives an empty result. With fewer than two grades in the sample
 the grade is that one (or 0), with certainty. Labels and other columns are never part of a prediction.
 """
 

@@ -1,7 +1,7 @@
 """Quality rules: a table of thresholds compiled into one projection of counts and ratios.
 
 Defined results: a null text has no words, as an empty one. A ratio over nothing is null, and a rule on a null
-passes. Rows are judged one by one, so null or repeated ids change nothing, and an empty table gives an empty
+passes. Rows are judged one by one, whatever their length, so null or repeated ids change nothing, and an empty table gives an empty
 result. Other columns of the input are not read.
 """
 

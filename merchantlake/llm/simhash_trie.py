@@ -6,7 +6,8 @@ the budget allows. Each task goes on in the same way, bit by bit, with the pairs
 what it linked; the forests are joined into components.
 
 Defined results: a null or empty text has no words and fingerprint zero, which links like any other. Null ids take part
-and never name a component unless it has no other id. Repeated rows give repeated result rows. An empty table gives
+and never name a component unless it has no other id. Repeated rows give repeated result rows. Texts of any length are read whole; bits set in
+just half the shingles are zero. An empty table gives
 an empty result. Other columns of the input are not read.
 """
 

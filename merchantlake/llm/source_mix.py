@@ -6,7 +6,7 @@ bucket): the bucket in which the budget ends is the only one that is split again
 threshold and never sorted, and the same hash gives nested selections for growing budgets.
 
 Defined results: a null text has size zero, a null source is a source of its own (the last). Documents whose id and text
-are equal share a hash and are taken together. A source without words gets target zero. An empty table gives an
+are equal share a hash and are taken together. A source without words gets target zero. Hashes that tie are taken or left together. An empty table gives an
 empty result. Other columns of the input are not read.
 """
 

@@ -4,7 +4,7 @@ The files hold token identifiers of fixed width and nothing else: no index, no l
 size wherever these fall. Each block is searched in one vectorised pass; what a block cannot know (where the document that
 reaches into it began, and how many ended before) comes from a prefix scan over one row per block.
 
-Defined results: a null or empty text has no tokens. Rows are counted one by one, so null or repeated ids change nothing.
+Defined results: a null or empty text has no tokens. Rows are counted one by one, so null or repeated ids change nothing, and texts are of any length.
 An empty table gives an empty result. Tokens after a file's last identifier are a document without an end and are
 reported as such. Text that spells a special token is ordinary text. Other columns of the input are not read.
 """

@@ -4,7 +4,7 @@ The presence of an n-gram counts, not how often it occurs. A ratio says how much
 texts of the training sample; a logistic regression is then fitted to presence times ratio.
 
 Defined results: null and empty texts have no n-grams and score by the intercept alone. Null ids count as held out and are
-never learnt from. Repeated rows get equal scores. An empty table gives an empty result, and without labels of both kinds
+never learnt from. Repeated rows get equal scores. Texts of any length are read whole, in portions. An empty table gives an empty result, and without labels of both kinds
 every score is the share of toxic rows, or 0 when there is none. Labels and other columns are never part of a score.
 """
 

@@ -5,7 +5,7 @@ and return where each record lies; that index (file, offset, length, url, digest
 sorts what it selected by place, joins near ranges into one read, and checks each payload against its digest.
 
 Defined results: null html is an empty payload. Of rows with equal payloads those with the smallest id are responses (all of
-them, if rows repeat that id) and the others revisit it; a null id is greater than any. Null urls are written as
+them, if rows repeat that id) and the others revisit it; a null id is greater than any. Payloads are of any length. Null urls are written as
 ``urn:page:<id>``, and control characters in urls as %20. An empty table gives an empty result.
 """
 
