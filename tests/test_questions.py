@@ -175,9 +175,10 @@ def test_q5_equal_scores_keep_the_lowest_city_numbers(advisory):
 def test_q5_published_categories_get_their_segments(spark):
     """Counts and tickets as published for the full data set."""
     published = [("A", 3851127, 20103.29), ("B", 2918862, 20096.96), ("C", 459753, 20115.66), (C.UNKNOWN_CATEGORY, 44625, 20151.34)]
-    df = spark.createDataFrame(published, "category string, n long, ticket double").withColumn("all", F.lit(1))
-    segment = advisor.volume_value_segment(F.col("n"), F.col("ticket"), F.col("category"), ["all"])
-    assert {r[0]: r[1] for r in df.select("category", segment).collect()} == {
+    base = spark.createDataFrame(published, "part string, n long, avg_ticket double")
+    base = base.withColumns({"section": F.lit(C.SECTION_CATEGORIES), "total": (F.col("n") * F.col("avg_ticket")).cast(C.TOTALS)})
+    segment = advisor.volume_value_segment(F.col("volume_quarter"), F.col("ticket_quarter"))
+    assert {r[0]: r[1] for r in advisor.standings(base).select("part", segment).collect()} == {
         "A": "high_volume", "B": "balanced", "C": "balanced", C.UNKNOWN_CATEGORY: "high_value",
     }
 
