@@ -61,6 +61,15 @@ def exact_sum(amount: Column, digits: int = C.MONEY_DIGITS) -> Column:
     return total.cast(T.DecimalType(38, digits))
 
 
+def dearer(amount: Column, units: int) -> Column:
+    """``amount`` and so many whole units, added as decimals: as doubles, 2047.36 and 1 give more digits than either has.
+
+    An amount that is no number, or has more digits than are kept, stays one.
+    """
+    exact = amount.try_cast(T.DecimalType(30, C.MONEY_DIGITS))
+    return F.when(exact.cast("double") == amount, (exact + units).cast("double")).otherwise(amount + units)
+
+
 def money_sum(amount: Column) -> Column:
     return exact_sum(amount).cast("double")
 

@@ -109,7 +109,7 @@ def silver_month_rebuilt(spark: SparkSession, d: str) -> DataFrame:
     tables.write_table(source, path, partition_by=MONTH_FOLDERS, cluster_by=(*MONTH_FOLDERS, "city_id"))
     stored = tables.read_table(spark, path)
     first = stored.agg(F.date_format(F.min("purchase_ts"), "yyyy-MM").alias("m")).first().m
-    corrected = silver.of_months(source, [first]).withColumn("amount", F.col("amount") + 1)
+    corrected = silver.of_months(source, [first]).withColumn("amount", X.dearer(F.col("amount"), 1))
     only = [dict(zip(MONTH_FOLDERS, map(int, first.split("-"))))]
     tables.write_partitions(corrected, path, MONTH_FOLDERS, only=only, cluster_by=("city_id",), gate=tables.Gate(C.GATED))
     return (

@@ -5,11 +5,14 @@ import signal
 import subprocess
 import sys
 import time
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from merchantlake import run
+from merchantlake.functions import columns as X
+from merchantlake.registry.queries import QUERIES
 from merchantlake.sources import publish, standin, tables
 
 
@@ -249,3 +252,16 @@ def test_readers_of_one_month_and_city_skip_row_groups(spark, tmp_path):
     plain, ordered = (tables.read_table(spark, f"{tmp_path}/{n}").where(sought) for n in ("plain", "ordered"))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, ordered.collect())) != []
     assert scanned(ordered) < 0.2 * scanned(plain)
+
+
+def test_a_month_made_dearer_keeps_its_digits(spark, tmp_path, sf_dir):
+    """2047.36 + 1 as doubles is not 2048.36, and its total was refused as having too many digits."""
+    root = str(tmp_path)
+    for name in ("orders", "customer", "part"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{root}/{name}.parquet")
+    spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("l_extendedprice", F.lit(2047.36)).write.parquet(f"{root}/lineitem.parquet")
+    got = QUERIES["silver_month_rebuilt"](spark, root).orderBy("purchase_year", "purchase_month").collect()
+    price = [Decimal("2048.36") if k == 0 else Decimal("2047.36") for k in range(len(got))]
+    assert [r.total_amount for r in got] == [float(p * r.transaction_count) for p, r in zip(price, got)]
+    odd = spark.createDataFrame([(0.1234567891,), (float("nan"),), (float("inf"),), (None,), (1e25,)], "a double")
+    assert [str(r[0]) for r in odd.select(X.dearer(F.col("a"), 1)).collect()] == ["1.1234567891", "nan", "inf", "None", "1e+25"]
