@@ -88,7 +88,7 @@ def bronze_locations(spark: SparkSession, d: str) -> DataFrame:
     tx, state = _tx(spark, d), F.col("state_id")
     tx.where(state < 8).write.partitionBy("installments").parquet(f"{root}/{paths.FOLDER}")
     tx.where((state >= 8) & (state < 16)).write.parquet(f"{root}/{paths.SINGLE_FILE}")
-    tx.where(state >= 16).coalesce(1).write.parquet(f"{root}/raw/part-2.parquet")
+    tx.where(state >= 16).write.parquet(f"{root}/raw/part-2.parquet")
     found = paths.discover_transactions(spark, root)
     layout = {f"{root}/{p}": name for p, name in ((paths.FOLDER, "folder"), (paths.SINGLE_FILE, "file"), (paths.LOOSE_PARTS, "parts"))}
     first = paths.resolve_transactions(spark, root)

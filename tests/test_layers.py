@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from merchantlake import contract as C
 from merchantlake import run
 from merchantlake.operators.reuse import store
+from merchantlake.registry import queries
 from merchantlake.sources import paths, standin, tables
 
 
@@ -259,3 +260,11 @@ def test_command_line(spark, lake, monkeypatch, capsys):
     os.rename(lake.at("gold", "q1_results"), lake.at("gold", "q1_moved"))
     assert run.main(["validate", "--strict"]) == 1
     os.rename(lake.at("gold", "q1_moved"), lake.at("gold", "q1_results"))
+
+
+def test_loose_parts_are_written_by_all_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    """No task takes the rows of the others."""
+    monkeypatch.setattr(queries, "new_path", lambda spark, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(queries, "_tx", lambda spark, d: standin.transactions(spark, d).repartition(5))
+    queries.bronze_locations(spark, sf_dir)
+    assert len(glob.glob(f"{tmp_path}/download/raw/part-2.parquet/part-*")) == 5
