@@ -2,8 +2,9 @@
 
 A count of distinct merchants per month cannot be added up: a merchant that sells in two months counts once in both together.
 Sets can be united. Merchants get dense numbers, and the merchants of a month and city are a bitmap of these numbers, in
-buckets as wide as Spark's bitmap functions make them. Monthly cells are small, are stored once and give every longer period
-by uniting bitmaps, without the transactions.
+buckets of 64, each one number: a bucket has a row only where a merchant is in it, so cells are never more than the different
+merchants of months and cities, however thin these are spread, and are united in hash tables. Monthly cells are stored
+once and give every longer period by uniting bitmaps, without the transactions.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from merchantlake.operators import scan
 from merchantlake.operators.joins import lookup_join
 
 KEY = "merchant_id"
+# Fixed value: a bucket is 2**6 merchants, the bits of a bigint.
+BUCKET_BITS = 6
 
 
 def merchant_numbers(silver: DataFrame) -> DataFrame:
@@ -32,8 +35,9 @@ def monthly_sets(silver: DataFrame, numbers: DataFrame) -> DataFrame:
     """(year, month, city_id, bucket, merchants): a bitmap for each month, city and bucket of merchant numbers."""
     cells = silver.select(*X.month_keys(F.col("purchase_ts")), "city_id", KEY).where(F.col(KEY).isNotNull()).distinct()
     numbered = lookup_join(cells, numbers, KEY, "inner")
-    return numbered.groupBy("year", "month", "city_id", F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("merchants")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("number") % (1 << BUCKET_BITS)).cast("int"))
+    return numbered.groupBy("year", "month", "city_id", F.shiftright("number", BUCKET_BITS).alias("bucket")).agg(
+        F.bit_or(bit).alias("merchants")
     )
 
 
@@ -41,8 +45,8 @@ def distinct_merchants(sets: DataFrame, *keys: Column) -> DataFrame:
     """Different merchants for each value of ``keys``, which can be any roll-up of year, month and city."""
     names = [f"_key{i}" for i in range(len(keys))]
     united = sets.select("bucket", "merchants", *[k.alias(n) for k, n in zip(keys, names)])
-    united = united.groupBy(*names, "bucket").agg(F.bitmap_or_agg("merchants").alias("merchants"))
-    counted = united.groupBy(*names).agg(F.sum(F.bitmap_count("merchants")).alias("distinct_merchants"))
+    united = united.groupBy(*names, "bucket").agg(F.bit_or("merchants").alias("merchants"))
+    counted = united.groupBy(*names).agg(F.sum(F.bit_count("merchants").cast("bigint")).alias("distinct_merchants"))
     shown = [sets.select(k).columns[0] for k in keys]
     return counted.withColumnsRenamed(dict(zip(names, shown)))
 

@@ -50,3 +50,15 @@ def test_no_merchants(spark, source):
     none = source.where("false")
     assert M.distinct_merchants(M.monthly_sets(none, M.merchant_numbers(none)), F.col("city_id")).count() == 0
     assert scan.PEERS not in M.merchant_numbers(source).columns
+
+
+def test_thin_sets_take_a_number_for_each_merchant(spark):
+    """A bitmap of some size for each month, city and bucket grows with the product of cells and merchants."""
+    k = F.col("id")
+    df = spark.range(20_000).select(
+        (k * 7919 % 20_011).cast("string").alias("merchant_id"), (k % 500).cast("int").alias("city_id"),
+        F.expr("timestamp'2017-01-15' + make_ym_interval(0, cast(id % 12 as int))").alias("purchase_ts"),
+    )
+    sets = M.monthly_sets(df, M.merchant_numbers(df))
+    assert sets.schema["merchants"].dataType.simpleString() == "bigint"
+    assert sets.count() <= 20_000 and sets.agg(F.sum(F.bit_count("merchants").cast("bigint"))).first()[0] == 20_000
