@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from merchantlake.llm.common import store, table
 from merchantlake.llm.decontaminate import contaminated
 from merchantlake.llm.quality_rules import quality_rules
-from merchantlake.llm.simhash_trie import near_duplicates_removed
+from merchantlake.llm.simhash_trie import simhash_duplicates_removed
 from merchantlake.llm.source_mix import mix_sources
 from merchantlake.llm.suffix_dedup import suffix_dedup
 
@@ -25,11 +25,11 @@ def by_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def by_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near duplicates.
+    """One document, that with the smallest id, of each group whose SimHash fingerprints the trie links: three words, three bits.
 
     Of rows equal in id and text one stays. A null id names a group only when it has no other. Texts without words are one group.
     """
-    return near_duplicates_removed(docs)
+    return simhash_duplicates_removed(docs)
 
 
 def by_suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

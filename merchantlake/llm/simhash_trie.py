@@ -89,15 +89,16 @@ def _fingerprints(shingle: int):
                 _majorities(*_shingle_hashes(texts[b:e], shingle)) for b, e in batches_of_bytes(texts, TEXT_AT_ONCE)
             ]
             values = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": values})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "th": batch["th"], "fp": values})
 
     return run
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp), one row per document, fp as a signed 64-bit number."""
+    """(doc_id, th, fp), one row per document: the text's hash, and its fingerprint as a signed 64-bit number."""
     given = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    found = given.mapInPandas(_fingerprints(shingle), "doc_id string, fp bigint")
+    hashed = given.withColumn("th", F.xxhash64("text"))
+    found = hashed.mapInPandas(_fingerprints(shingle), "doc_id string, th bigint, fp bigint")
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
@@ -278,17 +279,30 @@ def _component_names(folded: DataFrame, links: DataFrame) -> DataFrame:
     return store(folded.join(named, "node", "left").select("node", F.coalesce("smallest", "least").alias("component_id")), "named")
 
 
+def _by_fingerprint(docs: DataFrame, doc_id: str, text: str, shingle: int, budget: int) -> DataFrame:
+    """doc_id, th, fp and component_id of every row."""
+    rows = store(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    folded = store(rows.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least")), "folded")
+    named = _component_names(folded, trie_links(folded.select(F.col("node").alias("fp")), budget))
+    return rows.join(named.withColumnRenamed("node", "fp"), "fp", "left")
+
+
 def simhash_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BUDGET
 ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id reachable over links."""
-    rows = store(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    folded = store(rows.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least")), "folded")
-    named = _component_names(folded, trie_links(folded.select(F.col("node").alias("fp")), budget))
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(named.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "doc_id", hexadecimal.alias("fingerprint"), "component_id"
-    )
+    return _by_fingerprint(docs, doc_id, text, shingle, budget).select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
+
+
+def simhash_duplicates_removed(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BUDGET
+) -> DataFrame:
+    """The rows of ``docs`` whose id names the component of their fingerprint; of rows equal in id and text one stays.
+
+    A component without any id keeps one of its rows for each text.
+    """
+    return _namesakes(docs, _by_fingerprint(docs, doc_id, text, shingle, budget), doc_id, text)
 
 
 # Similar texts. Two texts that share 0.8 of their shingles differ in about 15% of the bits of a fingerprint, far more than
@@ -454,6 +468,16 @@ def similar_components(
     return rows.join(named, "node", "left").select("doc_id", "th", "component_id")
 
 
+def _namesakes(docs: DataFrame, named: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows of ``docs`` whose id names their component, from doc_id, th and component_id of all; equal ones once."""
+    names = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = store(named.where(names).select("doc_id", "th").distinct(), "kept")
+    # An id can also be that of a text in another component: a row stays for its text.
+    rows, ids = docs.alias("d"), kept.alias("k")
+    same = F.col(f"d.`{doc_id}`").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64(F.col(f"d.`{text}`").cast("string")) == F.col("k.th"))
+    return rows.join(ids, same, "left_semi").dropDuplicates([doc_id, text])
+
+
 def near_duplicates_removed(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SIMILAR_SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -461,10 +485,4 @@ def near_duplicates_removed(
 
     A component without any id keeps one of its rows for each text.
     """
-    named = similar_components(docs, doc_id, text, shingle, similarity)
-    names = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = store(named.where(names).select("doc_id", "th").distinct(), "kept")
-    # An id can also be that of a text in another component: a row stays for its text.
-    rows, ids = docs.alias("d"), kept.alias("k")
-    same = F.col(f"d.`{doc_id}`").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64(F.col(f"d.`{text}`").cast("string")) == F.col("k.th"))
-    return rows.join(ids, same, "left_semi").dropDuplicates([doc_id, text])
+    return _namesakes(docs, similar_components(docs, doc_id, text, shingle, similarity), doc_id, text)

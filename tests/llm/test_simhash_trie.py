@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from awkward import prose
 from merchantlake.llm import simhash_trie as S
 from merchantlake.llm.components import components
@@ -200,3 +201,19 @@ def test_an_id_of_texts_in_two_components_keeps_only_the_one_it_names(spark):
     docs = spark.createDataFrame([(3, base), (6, other), (6, base + " word"), (7, other + " more")], "doc_id bigint, text string")
     kept = S.near_duplicates_removed(docs)
     assert sorted(map(tuple, kept.collect())) == [(3, base), (6, other)]
+
+
+def test_the_stage_keeps_what_fingerprints_name(spark, awkward):
+    """One row for each component of fingerprints, by brute force, and none that only shingles would join."""
+    r = random.Random(12)
+    texts = [prose(k, r.randint(1, 80)) for k in range(30)]
+    texts += [t + " more" for t in texts] + [t.upper() for t in texts[:9]]
+    given = list(enumerate(texts))
+    docs = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
+    kept = corpus_pipeline.by_near_duplicates(spark, docs, "")
+    expected = sorted(d for d, _, component in brute(given) if d == component)
+    assert sorted(x.doc_id for x in kept.collect()) == expected and 30 < len(expected) < 60
+    odd = [(x.doc_id, x.text) for x in awkward.select("doc_id", "text").collect()]
+    named = {d for d, _, component in brute(odd) if d is not None and d == component}
+    left = [(x.doc_id, x.text) for x in corpus_pipeline.by_near_duplicates(spark, awkward, "").collect()]
+    assert {x[0] for x in left if x[0] is not None} == named and len(set(left)) == len(left)
