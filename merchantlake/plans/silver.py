@@ -68,6 +68,19 @@ def of_months(transactions: DataFrame, months: list[str]) -> DataFrame:
     return transactions.where(reduce(lambda a, b: a | b, inside))
 
 
+def with_category(transactions: DataFrame) -> DataFrame:
+    """Transactions under their contract names, with a category that is never null."""
+    return conform(transactions).withColumn("category", F.coalesce("category", F.lit(C.UNKNOWN_CATEGORY)))
+
+
+def with_names(rows: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Rows with the ``merchant_name`` of their id, or the id when that is unknown: it depends on the id alone."""
+    names = resolved.where(F.col(KEY).isNotNull()).select(KEY, F.col("merchant_name").alias("_name"))
+    joined = lookup_join(rows, names, KEY, "left")
+    columns = [c for c in joined.columns if c not in (KEY, "_name", "merchant_name")]
+    return joined.select(KEY, *columns, F.coalesce("_name", KEY).alias("merchant_name"))
+
+
 def enrich(transactions: DataFrame, resolved: DataFrame) -> DataFrame:
     """Transactions with ``merchant_name`` (the id when unknown) and a category that is never null.
 
@@ -75,12 +88,4 @@ def enrich(transactions: DataFrame, resolved: DataFrame) -> DataFrame:
     sides are shuffled once, and partitions that a hot id or missing ids make large are split
     at run time (:mod:`merchantlake.operators.joins`).
     """
-    names = resolved.where(F.col(KEY).isNotNull()).select(KEY, F.col("merchant_name").alias("_name"))
-    joined = lookup_join(conform(transactions), names, KEY, "left")
-    columns = [c for c in joined.columns if c not in (KEY, "_name", "merchant_name")]
-    category = F.coalesce("category", F.lit(C.UNKNOWN_CATEGORY)).alias("category")
-    return joined.select(
-        KEY,
-        *[category if c == "category" else F.col(c) for c in columns],
-        F.coalesce("_name", KEY).alias("merchant_name"),
-    )
+    return with_names(with_category(transactions), resolved)

@@ -33,13 +33,26 @@ def _on_silver(plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: plan(_silver(spark, d))
 
 
+def _cells(spark: SparkSession, d: str, *keys: str) -> DataFrame:
+    """Transactions per cell, counted before their merchants get names: a name depends on the id alone.
+
+    Rows of a cell are combined before they are shuffled, and names join cells in as many tasks as the session has shuffle
+    partitions, however well cells compress: Spark would gather them by their compressed size.
+    """
+    cells = cities.count_cells(silver.with_category(_tx(spark, d)), *[k for k in keys if k != "merchant_name"])
+    if "merchant_name" not in keys:
+        return cells
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return silver.with_names(cells.repartition(parts, silver.KEY), silver.resolve_merchants(_merchants(spark, d)))
+
+
 def _on_cells(plan: Callable[[DataFrame], DataFrame], *keys: str) -> Query:
-    return lambda spark, d: plan(cities.count_cells(_silver(spark, d), *keys))
+    return lambda spark, d: plan(_cells(spark, d, *keys))
 
 
 def _on_stored_cells(plan: Callable[[DataFrame], DataFrame], *keys: str) -> Query:
     """For plans that roll their cells up more than once."""
-    return lambda spark, d: plan(store(cities.count_cells(_silver(spark, d), *keys), "cells"))
+    return lambda spark, d: plan(store(_cells(spark, d, *keys), "cells"))
 
 
 def _on_advisory(plan: Callable[[DataFrame], DataFrame]) -> Query:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from merchantlake import contract as C
 from merchantlake.plans import advisor, cities, questions, reports
+from merchantlake.registry import queries
 
 SILVER = (
     "merchant_id string, amount double, category string, purchase_ts timestamp_ntz, city_id int, state_id int, "
@@ -320,3 +321,14 @@ def test_timestamps_may_be_text(spark, silver, rows):
         assert rows(questions.top_merchants(other)) == rows(questions.top_merchants(typed))
         assert rows(questions.peak_hours(other)) == rows(questions.peak_hours(typed))
         assert rows(advisor.advisory_cells(other)) == rows(advisor.advisory_cells(typed))
+
+
+def test_cells_are_counted_before_they_get_names(spark, sf_dir, rows):
+    """The same cells as from Silver, and no join with names where no name is asked for."""
+    found = queries._cells(spark, sf_dir, *queries.MERCHANT_CELL)
+    expected = cities.count_cells(queries._silver(spark, sf_dir), *queries.MERCHANT_CELL)
+    assert rows(found, *expected.columns) == rows(expected)
+    plain = queries._cells(spark, sf_dir, "city_id", "merchant_id", "category")
+    assert "part.parquet" not in "".join(plain.inputFiles()) and rows(plain) == rows(
+        cities.count_cells(queries._silver(spark, sf_dir), "city_id", "merchant_id", "category")
+    )
