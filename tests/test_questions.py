@@ -332,3 +332,9 @@ def test_cells_are_counted_before_they_get_names(spark, sf_dir, rows):
     assert "part.parquet" not in "".join(plain.inputFiles()) and rows(plain) == rows(
         cities.count_cells(queries._silver(spark, sf_dir), "city_id", "merchant_id", "category")
     )
+
+
+def test_cities_are_the_same_from_cells_of_merchants_and_of_categories(spark, sf_dir, rows):
+    silver = queries._silver(spark, sf_dir)
+    merchants, categories = (cities.count_cells(silver, *keys) for keys in (cities.MERCHANT_CELL, cities.CATEGORY_CELL))
+    assert rows(cities.city_metrics(merchants, categories)) == rows(cities.city_metrics(cities.count_cells(silver)))
