@@ -37,6 +37,8 @@ BLOCK_ROWS = 1 << 13
 BLOCK_CELLS = 1 << 21
 #: Anchors of a block that are scored at once.
 AT_ONCE = 1 << 8
+#: Bytes of anchors' vectors that a task holds beside its rows.
+HELD_BYTES = 1 << 26
 #: An anchor's number: its block's digest, then its place in the block.
 PLACE_BITS = 13
 EXACT = 1 << 53
@@ -182,10 +184,12 @@ def _scorer(same: bool, count: int):
 
 
 def _met(blocks: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Every block of rows beside every block of anchors: rows are dealt out once, the few anchors are copied to each task."""
-    spread = partitions(blocks.sparkSession)
-    dealt = blocks.withColumn("salt", F.pmod("b", F.lit(spread)).cast("int"))
-    return dealt.join(anchors.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))), "salt")
+    """Every block of rows beside every block of anchors, as a product of partitions: tasks read the few anchors where they
+    are stored. No copies of them are made and nothing is broadcast, so the driver holds none whatever their size.
+    """
+    size = anchors.agg(F.sum(F.octet_length("a_vectors"))).first()[0] or 0
+    held = anchors.coalesce(max(1, -(-size // HELD_BYTES)))
+    return blocks.repartition(partitions(blocks.sparkSession)).crossJoin(held.hint("shuffle_replicate_nl"))
 
 
 def _first_positives(count: int):
@@ -270,7 +274,7 @@ def hard_negatives(
     scores = firsts.groupBy("place").agg(F.collect_list("score").alias("s"))
     place = F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     of_block = scores.groupBy(F.shiftright("place", PLACE_BITS).alias("a_b")).agg(F.collect_list(F.struct(place.alias("k"), "s")).alias("limits"))
-    limited = sides.join(of_block, "a_b").mapInArrow(_limits(positives), LIMITED)
+    limited = store(sides.join(of_block, "a_b").mapInArrow(_limits(positives), LIMITED), "limits")
     wrong = _met(blocks, limited).mapInArrow(_scorer(False, negatives), PAIRS)
     pairs = firsts.mapInArrow(_as_pairs, PAIRS).unionByName(wrong)
     mined = _sorted_by_key(pairs).mapInArrow(_miner(positives, negatives), MINED)

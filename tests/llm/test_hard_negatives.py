@@ -74,3 +74,23 @@ def test_pairs_sent_do_not_grow_with_the_rows_of_a_block(spark):
     anchors = H.usable(df, "vec_id", F.col("label"), "embedding").where("id % 100 = 0").mapInArrow(H._pack, H.PACKED)
     sides = anchors.select(*[F.col(c).alias(f"a_{c}") for c in anchors.columns])
     assert H._met(blocks, sides).mapInArrow(H._scorer(True, 5), H.PAIRS).count() <= 5 * 40 * blocks.count()
+
+
+def test_anchors_are_not_copied_to_the_driver(spark):
+    """Blocks meet by a product of stored partitions: no copy of the anchors for each task, nothing broadcast."""
+    given = H.usable(spark.createDataFrame(tied_rows(6, 2950), SCHEMA).repartition(3), "vec_id", F.col("label"), "embedding")
+    blocks = H.store(given.mapInArrow(H._pack, H.PACKED), "blocks")
+    anchors = H.store(given.where("id % 10 = 0").mapInArrow(H._pack, H.PACKED), "anchors")
+    met = H._met(blocks, anchors.select(*[F.col(c).alias(f"a_{c}") for c in anchors.columns]))
+    assert met.select("b", "a_b").distinct().count() == blocks.count() * anchors.count() == met.count() == 9
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan
+
+
+@pytest.mark.parametrize("held", [1, 200])
+def test_anchors_in_several_portions(spark, rows, monkeypatch, held):
+    given = tied_rows(7, 500)
+    monkeypatch.setattr(H, "BLOCK_ROWS", 97)
+    monkeypatch.setattr(H, "HELD_BYTES", held)
+    df = spark.createDataFrame(given, SCHEMA).repartition(5)
+    assert rows(H.hard_negatives(df, F.col("id") % 10 == 0)) == sorted(brute(given, 10), key=repr)
