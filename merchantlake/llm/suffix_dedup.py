@@ -245,10 +245,11 @@ def _merge_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Digests of every string of a context, folded within the batch."""
+    at_once = BLOCK // LENGTH  # a context has fewer than 2 * LENGTH bytes: what is hashed at once is no longer than the powers
     for batch in batches:
         parts = []
-        for begin in range(0, len(batch), 4096):
-            rows = batch.iloc[begin : begin + 4096]
+        for begin in range(0, len(batch), at_once):
+            rows = batch.iloc[begin : begin + at_once]
             sizes = rows["context"].map(len).to_numpy()
             data = np.frombuffer(b"".join(rows["context"]), dtype=np.uint8)
             lo, hi = _bounds(rows["place"].to_numpy())

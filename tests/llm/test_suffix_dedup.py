@@ -100,3 +100,24 @@ def test_later_windows_looks_only_at_whole_windows():
     windows = np.array([len(s) - 4 + 1 for s in strings])
     found = {tuple(x) for x in later_windows(strings, windows, np.array([0, 1, 1]), 4).tolist()}
     assert found == {(1, 1), (1, 2), (1, 3), (2, 0)}
+
+
+def common_line() -> str:
+    """Of many lines, the one whose hash is least: it is the anchor of nearly all strings around it."""
+    r = random.Random(8)
+    lines = ["".join(r.choice("abcdefgh ") for _ in range(S.GRAM)) for _ in range(20_000)]
+    data = np.frombuffer("".join(lines).encode(), dtype=np.uint8)
+    begins = np.arange(len(lines)) * S.GRAM
+    return lines[int(S._mix(S._Hashed(data, 0)(begins, begins + S.GRAM)).argmin())]
+
+
+def test_many_long_contexts_of_one_anchor(spark, rows, monkeypatch):
+    """Their strings are hashed in portions that the powers reach, however long the contexts are."""
+    monkeypatch.setattr(S, "MAX_CONTEXTS", 50)
+    r, line = random.Random(9), common_line()
+    sides = ["".join(r.choice("abcdefgh ") for _ in range(85)) for _ in range(3600)]
+    texts = [sides[k % 3000] + line + sides[-k] for k in range(3600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    expected = sorted(((k, *x) for k, x in enumerate(brute(texts))), key=repr)
+    assert sum(x[2] > 0 for x in expected) >= 600
+    assert rows(S.suffix_dedup(docs), *COLUMNS) == expected
